@@ -103,3 +103,15 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, split: bool = True, s
         edge = met.where("_bin = _end").withColumn("_more", last)
         taken = (F.col("_epochs") * F.col("size") + F.col("_more")).alias("taken")
         return scratch.keep(done.unionByName(edge).select("doc_id", "size", "source_size", "target", taken, *carry))
+
+
+def mixed(docs: DataFrame, quality: DataFrame | None = None, seed: int = 0) -> DataFrame:
+    """The mix itself: docs' rows, all columns, each as often as it is taken, whole documents only.
+
+    A document without words is in no mix.  Rows with the same doc_id are taken
+    as often as the largest of them.
+    """
+    plan = mix(docs, quality, split=False, seed=seed)
+    times = plan.where("size > 0").groupBy("doc_id").agg(F.max(F.floor(F.col("taken") / F.col("size"))).cast("int").alias("_times")).where("_times > 0")
+    known = docs.join(workspace.small_side(times.withColumnRenamed("doc_id", "_id"), 20), docs["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
+    return known.where(words(F.col("text")) > 0).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

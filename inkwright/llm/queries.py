@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwright.llm import exact_dedup, mixing, near_dedup, packing, token_counts, token_ids, workspace
+from inkwright.llm import exact_dedup, media, mixing, near_dedup, packing, token_counts, token_ids, toxicity, workspace
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(token_ids.read_token_ids(spark, shards, digest=True))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels, categories = toxicity.by_language(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, toxicity.train(docs, labels, categories))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -28,6 +34,13 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(_documents(spark, sf_dir))
 
 
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with workspace.Scratch(spark) as scratch:
+        out = scratch.path("archives")
+        written = media.write_archives(_documents(spark, sf_dir), out)
+        return scratch.keep(media.features(media.read_archives(spark, out, [uri for uri, _ in written])))
+
+
 def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents of good quality weigh 2, of poor quality 0.5; the others 1."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -75,7 +88,7 @@ FROM k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op5_exact_dedup, op6_best_fit_packing, op8_mixing, op9_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_token_ids, op2_toxicity, op5_exact_dedup, op6_best_fit_packing, op7_media_columns, op8_mixing, op9_near_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
