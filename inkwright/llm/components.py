@@ -9,6 +9,8 @@ a written table, so neither lineage nor driver memory grows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,46 @@ def _small(star: DataFrame) -> DataFrame:
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     moved = down.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+PIVOTS = 8
+ROUNDS = 3
+
+
+def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: workspace.Scratch) -> DataFrame:
+    """links (a, b) and those that large groups add, of rows (band, id) of which those in one band may be linked.
+
+    ``verify`` keeps the pairs (a, b) that are links.  First each member of a
+    band meets a few pivots; links merge members into components.  Members that
+    are not in their band's largest component meet new pivots for some rounds,
+    and those that still remain meet all others of the band.  In the end, all
+    pairs of a band were compared or are in one component, so components are
+    those of all pairs; a band whose members belong together costs a number of
+    pairs in proportion to its size.
+    """
+    done = None
+    for turn in range(ROUNDS + 1):
+        roots = components(links, scratch)
+        state = many.join(roots, many["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+        state = scratch.table(state, "state")
+        by_root = state.groupBy("band", "root").agg(F.count("*").alias("n"))
+        main = by_root.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
+        main = scratch.table(main.select("band", F.col("m.root").alias("main")), "main")
+        if main.isEmpty():
+            break
+        split = scratch.table(state.join(main, "band"), "split")
+        lone = split.where("root != main").select("band", F.col("id").alias("a"), F.col("root").alias("ra"))
+        if turn < ROUNDS:  # pivots have the least hashes, others in each round; partial minima pick them
+            salted = split.withColumn("_k", F.xxhash64(F.lit(turn), "id")).withColumn("_s", F.pmod("_k", F.lit(PIVOTS)))
+            pivots = salted.groupBy("band", "_s").agg(F.min(F.struct("_k", "id", "root")).alias("p")).select("band", F.col("p.id").alias("b"), F.col("p.root").alias("rb"))
+            every = lone if turn else split.select("band", F.col("id").alias("a"), F.col("root").alias("ra"))
+        else:
+            pivots = split.select("band", F.col("id").alias("b"), F.col("root").alias("rb"))
+            every = lone
+        meet = every.join(pivots, "band").where("ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if done is not None:
+            meet = meet.join(done, ["a", "b"], "left_anti")
+        meet = scratch.table(meet, "pairs")
+        done = meet if done is None else done.unionByName(meet)
+        links = links.unionByName(verify(meet))
+    return links

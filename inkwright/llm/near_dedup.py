@@ -10,11 +10,9 @@ threshold, given the matches so far (uniform prior), is below ``miss``.  Pairs
 that survive are verified on their whole sets; only those are links.
 
 Bands shared by many classes: up to ``all_pairs`` classes meet pairwise.  In
-larger bands each class meets a few pivots; links merge classes into components,
-classes not in their band's largest component meet new pivots for some rounds,
-and the few that remain meet all others of the band.  So every pair that shares
-a band is compared or already in one component, and a band of near copies costs
-a number of pairs in proportion to its size.
+larger bands classes are linked by way of pivots (``components.link_large``):
+every pair that shares a band is compared or already in one component, and a
+band of near copies costs a number of pairs in proportion to its size.
 
 Rows with the same doc_id are one document, of which one text is compared.  Rows
 without doc_id are never linked, are kept, and their component_id is null.  Null texts count as
@@ -31,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwright.llm import components, workspace, words as W
@@ -41,8 +39,6 @@ HASHES = BANDS * ROWS
 BATCH = 21  # hashes compared at a time; divides HASHES
 MISS = 1e-6
 ALL_PAIRS = 24
-PIVOTS = 8
-ROUNDS = 3
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -237,9 +233,10 @@ def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataF
         members = scratch.table(bands.join(shared, "band").select("band", "id", "n"), "bands")
         few, many = members.where(F.col("n") <= ALL_PAIRS), members.where(F.col("n") > ALL_PAIRS)
         pairs = few.select("band", F.col("id").alias("a")).join(few.select("band", F.col("id").alias("b")), "band").where("a < b").select("a", "b").distinct()
-        links = _verified(scratch.table(pairs, "pairs"), classes, documents, scratch, width, percent)
+        verify = lambda found: _verified(found, classes, documents, scratch, width, percent)
+        links = verify(scratch.table(pairs, "pairs"))
         if not many.isEmpty():
-            links = _link_large(many.select("band", "id"), links, classes, documents, scratch, width, percent)
+            links = components.link_large(many.select("band", "id"), links, verify, scratch)
         same = known.where("n_shingles > 0").select("doc_id", "print").join(class_of.select("print", "id"), "print").where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
         roots = components.components(links.unionByName(same), scratch)
         out = known.join(roots, known["doc_id"] == roots["node"], "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
@@ -247,37 +244,6 @@ def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataF
         return scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _link_large(many: DataFrame, links: DataFrame, classes: DataFrame, documents: DataFrame, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
-    """links and those that the large bands add: in the end, all pairs of a band were compared or are in one component."""
-    done = None
-    for turn in range(ROUNDS + 1):
-        roots = components.components(links, scratch)
-        state = many.join(roots, many["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root"))
-        state = scratch.table(state, "state")
-        by_root = state.groupBy("band", "root").agg(F.count("*").alias("n"))
-        main = scratch.table(by_root.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("band", F.col("m.root").alias("main")), "main")
-        if main.isEmpty():
-            break
-        split = scratch.table(state.join(main, "band"), "split")
-        lone = split.where("root != main").select("band", F.col("id").alias("a"), F.col("root").alias("ra"))
-        if turn < ROUNDS:
-            # pivots: the classes with the least hashes, others in each round; picked by partial minima
-            by = F.xxhash64(F.lit(turn), F.col("id"))
-            salted = split.withColumn("_k", by).withColumn("_s", F.pmod(F.col("_k"), F.lit(PIVOTS)))
-            pivots = salted.groupBy("band", "_s").agg(F.min(F.struct("_k", "id", "root")).alias("p")).select("band", F.col("p.id").alias("b"), F.col("p.root").alias("rb"))
-            every = split.select("band", F.col("id").alias("a"), F.col("root").alias("ra")) if turn == 0 else lone
-        else:
-            pivots = split.select("band", F.col("id").alias("b"), F.col("root").alias("rb"))
-            every = lone
-        meet = every.join(pivots, "band").where("ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if done is not None:
-            meet = meet.join(done, ["a", "b"], "left_anti")
-        meet = scratch.table(meet, "pairs")
-        done = meet if done is None else done.unionByName(meet)
-        links = links.unionByName(_verified(meet, classes, documents, scratch, width, percent))
-    return links
-
-
 def drop_near_copies(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
     """docs, all columns, with one document of each component."""
     gone = near_dedup(docs, width, percent).where("not kept").select("doc_id").distinct()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwright.llm import exact_dedup, media, mixing, near_dedup, packing, token_counts, token_ids, toxicity, workspace
+from inkwright.llm import exact_dedup, license_scan, line_dedup, media, mixing, near_dedup, packing, token_counts, token_ids, toxicity, workspace
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, labels, categories))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [F.col("doc_id"), F.col("n_lines"), F.col("n_dropped"), F.length("text").alias("n_chars_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")]
+    return line_dedup.line_dedup(_documents(spark, sf_dir), columns=columns)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -88,7 +97,7 @@ FROM k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_ids, op2_toxicity, op5_exact_dedup, op6_best_fit_packing, op7_media_columns, op8_mixing, op9_near_dedup, op10_token_counts)}
+    return {f.__name__: f for f in (op1_token_ids, op2_toxicity, op3_line_dedup, op4_license_scan, op5_exact_dedup, op6_best_fit_packing, op7_media_columns, op8_mixing, op9_near_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
