@@ -193,11 +193,11 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(listed, similarity, miss)
-        memo = W.Memo(_hash)
+        memo = W.Memo(_hash, 150_000)
         for batch in batches:
             text = W.texts(batch.column("text"))
             ids = batch.column("doc_id")
-            for at, part in W.slices(text):
+            for at, part in W.slices(text, 2 << 20):
                 starts, hashes, words, place = runs(part, memo)
                 rows = []
                 for doc, t, first, n, share in _look(index, starts, hashes, containment):
