@@ -1,6 +1,664 @@
-"""Queries over the provided tables, with the SQL that gives the same rows."""
+"""Queries over the provided tables, each with the DuckDB SQL that gives the same rows.
+
+Where the tables hold no case of an operator, rows written here are added to
+both sides.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from inkwright.functions import dates, html, text
+from inkwright.operators import matching, publish, quality, sequence
+from inkwright.sources import front_matter, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+AS_OF = "1998-06-30"
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL if there is any."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(v).lower()
+    if isinstance(v, (list, tuple)):
+        return "[" + ", ".join(_literal(x) for x in v) + "]"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+def values(rows: list[tuple], alias: str) -> str:
+    """Rows as a SQL table: ``(VALUES ...) alias(columns)``."""
+    return "(VALUES " + ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows) + f") {alias}"
+
+
+LINES = [
+    ("P Á G I N A  1",), ("A R T Í C U L O",), ("el  camino\tde   hierro",), ("Ñandú — ÜBER straße 12",), ("…",), ("x a b c y",), ("a b",), ("1 2 3 4",), ("",), ("DIRECTORIO ........ 2",), ("Los sellos …… 14.",),
+    ("BUZÓN DE NOVEDADES",), ("Credo del filatelista",), ("EDITORIAL: un año más",), ("El Sobresaliente de Hoy",), ("Nuevas emisiones",), ("Un sello con historia",), ("Directorio",),
+]
+
+#: Lines of all documents, and those above.
+SQL_LINES = f"(SELECT unnest(string_split(text, chr(10))) AS line FROM documents UNION ALL SELECT * FROM {values(LINES, 'v(line)')})"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    return own.unionByName(spark.createDataFrame(LINES, "line string"))
+
+
+# ---------------------------------------------------------------- publication
+
+
+def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    pin = F.when(F.substring("o_orderpriority", 1, 1) <= "2", F.substring("o_orderpriority", 1, 1).cast("int"))
+    return orders.select(
+        F.col("o_orderkey").alias("queue_pos"), F.concat(F.col("o_custkey").cast("string"), F.lit(".md")).alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_date"), (F.col("o_orderstatus") == "F").alias("locked"),
+        F.when(F.col("o_totalprice") > 200000, "").when(F.col("o_totalprice") > 100000, "big").alias("teaser"), F.lit(None).cast("string").alias("type"), F.lit(None).cast("string").alias("cover_align"), pin.alias("featured"),
+    )
+
+
+def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every third customer has no article, so lookups miss
+    return table(spark, sf_dir, "customer").where("c_custkey % 3 != 0").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("summary_es"))
+
+
+FEED_SQL = f"""
+WITH q AS (SELECT o_orderkey AS queue_pos, CAST(o_custkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS publish_date, o_orderstatus = 'F' AS locked,
+    CASE WHEN o_totalprice > 200000 THEN '' WHEN o_totalprice > 100000 THEN 'big' END AS teaser,
+    CASE WHEN o_orderpriority[1] <= '2' THEN CAST(o_orderpriority[1] AS INT) END AS featured FROM orders),
+p AS (SELECT * FROM q WHERE publish_date <= '{AS_OF}'),
+a AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS title, c_mktsegment AS summary_es FROM customer WHERE c_custkey % 3 <> 0)
+"""
+FEED_COLUMNS = ["id", "queue_pos", "publish_date", "featured", "title", "summary", "type", "cover_align"]
+FEED_SELECT = "SELECT id, queue_pos, publish_date, featured, title, coalesce(teaser, summary_es) AS summary, 'articulo' AS type, 'center' AS cover_align"
+
+
+@query(f"{FEED_SQL}, t AS (SELECT * FROM p ORDER BY featured ASC NULLS LAST, publish_date DESC, queue_pos LIMIT 5) {FEED_SELECT} FROM t JOIN a USING (id)")
+def q01_feed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.home_feed(_queue(spark, sf_dir), _articles(spark, sf_dir), AS_OF).select(*FEED_COLUMNS)
+
+
+@query(f"{FEED_SQL} {FEED_SELECT} FROM p JOIN a USING (id)")
+def q02_feed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.archive_feed(_queue(spark, sf_dir), _articles(spark, sf_dir), AS_OF).select(*FEED_COLUMNS)
+
+
+@query(f"{FEED_SQL} SELECT id, title FROM a WHERE id IN (SELECT id FROM p WHERE locked)")
+def q03_locked_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.locked(_queue(spark, sf_dir), _articles(spark, sf_dir), AS_OF).select("id", "title")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def q04_missing_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+# ---------------------------------------------------------------- quality
+
+
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL")
+def q05_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.count_by(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
+
+
+@query("SELECT value, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS value FROM part) WHERE value <> '' GROUP BY value")
+def q06_flag_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.tally(table(spark, sf_dir, "part"), "p_name", " ")
+
+
+@query("""
+SELECT c_nationkey AS series, c_custkey AS volume, coalesce(n, 0) AS n,
+  array_to_string(list_filter([CASE WHEN c_acctbal < 0 THEN 'NO-DATE' END, CASE WHEN coalesce(n, 0) <= 3 THEN 'FEW-ARTICLES' END, CASE WHEN c_mktsegment = 'BUILDING' THEN 'INCOMPLETA' END], lambda x: x IS NOT NULL), ' ') AS warnings
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey
+""")
+def q07_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    issues = customer.select(F.col("c_nationkey").alias("series"), F.col("c_custkey").alias("volume"), F.when(F.col("c_acctbal") >= 0, "2020-01").alias("issue_date"), (F.col("c_mktsegment") == "BUILDING").alias("incompleta"))
+    owned = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("series"), F.col("c_custkey").alias("volume"))
+    found = quality.issue_anomalies(issues, owned)
+    return found.select("series", "volume", "n", F.array_join("warnings", " ").alias("warnings"))
+
+
+@query("""
+SELECT (SELECT count(*) FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer)) AS issues, (SELECT count(*) FROM customer) AS articles,
+  sum(CAST(o_orderpriority[1] = '1' AS INT)) AS placed, sum(CAST(o_orderpriority[1] <> '1' AS INT)) AS loose, count(DISTINCT o_custkey) AS with_figures FROM orders
+""")
+def q08_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    articles = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("series"), F.col("c_mktsegment").alias("volume"))
+    images = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("article_id"), F.when(F.col("o_orderpriority").startswith("1"), "caption").alias("caption"), F.lit("f").alias("file"))
+    return quality.totals(articles, images)
+
+
+@query("""
+SELECT 's' || c_nationkey || 'v' || (c_custkey % 7) || '-' || lower(c_mktsegment) AS route, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1
+""")
+def q09_route_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.repeated_routes(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("series"), (F.col("c_custkey") % 7).alias("volume"), F.lower("c_mktsegment").alias("slug")))
+
+
+# ---------------------------------------------------------------- text
+
+KEY_SQL = "regexp_replace(lower(strip_accents({})), '[^a-z0-9]', '', 'g')"
+
+
+@query(f"SELECT {KEY_SQL.format('line')} AS key, count(*) AS n FROM {SQL_LINES} GROUP BY 1")
+def q10_norm_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy(text.norm_key(F.col("line")).alias("key")).agg(F.count("*").alias("n"))
+
+
+
+
+def _is(k: str, word: bool) -> str:
+    at = f"coalesce(c[i {k}], '')" if k else "coalesce(c[i], '')"
+    return ("" if word else "NOT ") + f"regexp_full_match({at}, '[\\p{{L}}\\p{{Nd}}\\p{{M}}_]')"
+
+
+#: A blank goes if single letters stand on both sides and one of them has another one beyond.
+_COLLAPSE = (
+    "x = ' ' AND (("
+    + " AND ".join([_is("- 1", True), f"(i < 3 OR {_is('- 2', False)})", _is("+ 1", True), "c[i + 2] = ' '", _is("+ 3", True), _is("+ 4", False)])
+    + ") OR (i > 3 AND "
+    + " AND ".join([_is("- 3", True), f"(i < 5 OR {_is('- 4', False)})", "c[i - 2] = ' '", _is("- 1", True), _is("+ 1", True), _is("+ 2", False)])
+    + "))"
+)
+SINGLE = r"[\p{L}\p{Nd}_] [\p{L}\p{Nd}_] [\p{L}\p{Nd}_]"
+
+
+@query(f"""
+SELECT line, regexp_replace(regexp_replace(array_to_string(list_filter(c, lambda x, i: NOT ({_COLLAPSE})), ''), '[ \\t]{{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS collapsed
+FROM (SELECT DISTINCT line, string_split(line, '') AS c FROM {SQL_LINES} WHERE regexp_matches(line, '{SINGLE}'))
+""")
+def q11_collapse_spacing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all lines, those that three single letters in a row may occur in."""
+    return _lines(spark, sf_dir).where(F.col("line").rlike(SINGLE)).distinct().select("line", text.collapse_spacing(F.col("line")).alias("collapsed"))
+
+
+TITLES = [("Ñandú — ÜBER straße 12",), ("El camino de hierro: la historia del ferrocarril que nunca llegó hasta la capital",), ("---",), ("",), ("Año 1902",)]
+
+
+@query(f"""
+SELECT slug, count(*) AS n FROM (SELECT trim(substr(trim(regexp_replace(lower(strip_accents(title)), '[^a-z0-9]+', '-', 'g'), '-'), 1, 60), '-') AS slug
+  FROM (SELECT regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages UNION ALL SELECT * FROM {values(TITLES, 'v(title)')})) GROUP BY slug
+""")
+def q12_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = table(spark, sf_dir, "pages").select(F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title")).unionByName(spark.createDataFrame(TITLES, "title string"))
+    return titles.groupBy(text.slugify(F.col("title")).alias("slug")).agg(F.count("*").alias("n"))
+
+
+@query(f"""
+SELECT coalesce(length(regexp_replace(line, '\\P{{Lu}}', '', 'g')) / nullif(length(regexp_replace(line, '\\P{{L}}', '', 'g')), 0), 0) > 0.7 AS title_line, count(*) AS n, sum(length(line)) AS chars FROM {SQL_LINES} GROUP BY 1
+""")
+def q13_upper_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy(text.is_title_line(F.col("line")).alias("title_line")).agg(F.count("*").alias("n"), F.sum(F.length("line")).alias("chars"))
+
+
+@query(f"""
+SELECT feature_type, count(*) AS n FROM (SELECT CASE WHEN starts_with(k, 'editorial') THEN 'editorial' WHEN starts_with(k, 'unselloconhistoria') THEN 'sello-con-historia' WHEN contains(k, 'novedades') OR contains(k, 'nuevasemisiones') THEN 'novedades'
+  WHEN starts_with(k, 'elsobresaliente') THEN 'sobresaliente' WHEN contains(k, 'credo') THEN 'credo' WHEN starts_with(k, 'directorio') THEN 'directorio' ELSE 'investigacion' END AS feature_type
+  FROM (SELECT {KEY_SQL.format('line')} AS k FROM {SQL_LINES})) GROUP BY 1
+""")
+def q14_feature_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy(text.feature_type(F.col("line")).alias("feature_type")).agg(F.count("*").alias("n"))
+
+
+VOCABULARY = [("rail", ["tren", "ferrocarril", "tion"]), ("sea", ["barco", "vapor", "che"]), ("crime", ["robo", "fraude", "ando"]), ("post", ["sello", "eux"])]
+
+
+def _hits(stems: list[str]) -> str:
+    return " + ".join(f"(length(h) - length(replace(h, '{s}', ''))) // {len(s)}" for s in stems)
+
+
+@query(
+    "SELECT theme, count(*) AS n FROM (SELECT CASE WHEN greatest(" + ", ".join(f"s{k}" for k in range(len(VOCABULARY))) + ") = 0 THEN 'none' "
+    + " ".join(f"WHEN s{k} = greatest({', '.join(f's{j}' for j in range(len(VOCABULARY)))}) THEN '{name}'" for k, (name, _) in enumerate(VOCABULARY))
+    + " END AS theme FROM (SELECT " + ", ".join(f"{_hits(stems)} AS s{k}" for k, (_, stems) in enumerate(VOCABULARY)) + " FROM (SELECT strip_accents(lower(text)) AS h FROM documents))) GROUP BY theme"
+)
+def q15_keyword_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").groupBy(text.guess_theme(F.col("text"), VOCABULARY, "none").alias("theme")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, array_to_string(string_split_regex(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '\\s+')[1:40], ' ') AS summary FROM documents")
+def q16_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.summary(F.col("text")).alias("summary"))
+
+
+@query("SELECT c_custkey, sha256(c_name) AS sha, substr(md5(c_name), 1, 10) AS md5_10, url_encode(c_name || ' & más') AS shared FROM customer")
+def q17_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("c_name")
+    return table(spark, sf_dir, "customer").select("c_custkey", text.sha256_hex(name).alias("sha"), text.md5_prefix(name).alias("md5_10"), text.url_component(F.concat(name, F.lit(" & más"))).alias("shared"))
+
+
+@query(f"""
+SELECT line, regexp_replace(trim(rtrim(trim(regexp_replace(regexp_replace(line, '[.…]{{2,}}', ' ', 'g'), '\\s{{2,}}', ' ', 'g')), '.')), '^\\s+|\\s+$', '', 'g') AS clean, upper(replace(regexp_replace(strip_accents(line), '\\s', '', 'g'), 'ß', 'ss')) AS solid
+FROM (SELECT DISTINCT line FROM {SQL_LINES}) WHERE NOT regexp_matches(line, '{SINGLE}')
+""")
+def q18_strip_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without spaced letters, whose treatment is q11's."""
+    lines = _lines(spark, sf_dir).distinct().where(~F.col("line").rlike(SINGLE))
+    return lines.select("line", text.strip_leaders(F.col("line")).alias("clean"), text.no_space(F.col("line")).alias("solid"))
+
+
+NAMES = [("Por Edgar A.",), ("José  Pratz",), ("Carlos Pratz..",), ("Ana Ruiz",), (None,)]
+NAME_RULES = [(["edgar"], "Edgar Alba"), (["jose", "pratz"], "José Pratz G.")]
+
+
+@query(f"""
+SELECT name, CASE WHEN contains(b, 'edgar') THEN 'Edgar Alba' WHEN contains(b, 'jose') AND contains(b, 'pratz') THEN 'José Pratz G.' WHEN name IS NULL THEN NULL ELSE rtrim(regexp_replace(name, '[ \\t]{{2,}}', ' ', 'g'), '.') END AS author, count(*) AS n
+FROM (SELECT name, lower(strip_accents(name)) AS b FROM (SELECT * FROM {values(NAMES, 'v(name)')} UNION ALL SELECT c_name FROM customer)) GROUP BY ALL
+""")
+def q19_canonical_author(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = spark.createDataFrame(NAMES, "name string").unionByName(table(spark, sf_dir, "customer").select(F.col("c_name").alias("name")))
+    return names.groupBy("name", text.canonical_name(F.col("name"), NAME_RULES).alias("author")).agg(F.count("*").alias("n"))
+
+
+SENTENCES = [("LA GUERRA DE CARLOS V EN HONDURAS", "La guerra de carlos v en Honduras"), ("ISLAS DE LA BAHÍA — TOMO XIV.", "Islas de la bahía — tomo XIV"), ("CORREO CIVIL-MILITAR", "Correo CIVIL-militar"), ("EL SOBRESALIENTE DE HOY", "El Sobresaliente de Hoy"), ("", "")]
+
+
+@query(f"SELECT * FROM {values(SENTENCES, 'v(title, cased)')}")
+def q20_sentence_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = spark.createDataFrame([(t,) for t, _ in SENTENCES], "title string")
+    return titles.select("title", text.sentence_case(F.col("title"), F.array(F.lit("honduras")), {"elsobresalientedehoy": "El Sobresaliente de Hoy"}).alias("cased"))
+
+
+FEATURED = [("LA LOCOMOTORA UN SELLO CON HISTORIA BUZÓN DE NOVEDADES", "LA LOCOMOTORA", "UN SELLO CON HISTORIA|BUZÓN DE NOVEDADES"), ("Buzón de novedades", "Buzón de novedades", ""), ("Un barco, Credo del Filatelista.", "Un barco,", "Credo del Filatelista."), ("nada", "nada", "")]
+
+
+@query(f"SELECT * FROM {values(FEATURED, 'v(title, prefix, features)')}")
+def q21_split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = spark.createDataFrame([(t,) for t, _, _ in FEATURED], "title string")
+    parts = text.split_features(F.col("title"), sequence.FEATURES)
+    return titles.select("title", parts["prefix"].alias("prefix"), F.array_join(parts["features"], "|").alias("features"))
+
+
+BYLINES = [(1, ["Intro", "Por: Ana Ruiz.", "por otro"], "Ana Ruiz", False, 2), (2, ["a", "b", "c", "d", "e", "f", "por Nadie"], "Casa", True, None), (3, [], "Casa", True, None), (4, ["Texto de - José Pratz"], "José Pratz G.", False, 1)]
+
+
+@query(f"SELECT id, author, unconfirmed, position FROM {values([(a, c, d, e) for a, _, c, d, e in BYLINES], 'v(id, author, unconfirmed, position)')}")
+def q22_byline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(a, b) for a, b, *_ in BYLINES], "id int, paras array<string>")
+    return rows.select("id", text.detect_byline(F.col("paras"), NAME_RULES, "Casa").alias("b")).select("id", "b.*")
+
+
+@query("""
+WITH RECURSIVE w AS (SELECT item_id, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS ws FROM benchmark),
+r AS (SELECT item_id, ws, 1 AS i, '' AS line, 0 AS lines, 0 AS longest FROM w
+  UNION ALL SELECT item_id, ws, i + 1, CASE WHEN length(ltrim(line || ' ' || ws[i])) <= 30 THEN ltrim(line || ' ' || ws[i]) ELSE ws[i] END,
+    lines + CASE WHEN length(ltrim(line || ' ' || ws[i])) <= 30 OR line = '' THEN 0 ELSE 1 END, greatest(longest, CASE WHEN length(ltrim(line || ' ' || ws[i])) <= 30 THEN 0 ELSE length(line) END) FROM r WHERE i <= len(ws))
+SELECT item_id, lines + CAST(line <> '' AS INT) AS lines, greatest(longest, length(line)) AS longest FROM r WHERE i > len(ws)
+""")
+def q23_wrap_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "benchmark").select("item_id", text.wrap_words(F.col("text"), 30).alias("l"))
+    return lines.select("item_id", F.size("l").alias("lines"), F.array_max(F.transform("l", F.length)).alias("longest"))
+
+
+CAPTIONS = [("(1) Sello de 1902", True, "Sello de 1902"), ("(12).  Carta", True, "Carta"), ("(a) no", False, "(a) no"), ("texto (3) x", False, "texto (3) x")]
+
+
+@query(f"SELECT * FROM {values(CAPTIONS, 'v(line, is_caption, caption)')}")
+def q24_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.createDataFrame([(c[0],) for c in CAPTIONS], "line string")
+    return lines.select("line", text.is_caption(F.col("line")).alias("is_caption"), text.caption_text(F.col("line")).alias("caption"))
+
+
+BODIES = [
+    (1, "image_count: 0   # x\n(1) Sello (raro) fin\n(1) Sello (raro) bis\n\n<!-- IMÁGENES\n a\n-->\n\nz", "Sello (raro)", 2, "image_count: 2\n![Sello (raro)](/img/a.webp)\n(1) Sello (raro) bis\nz"),
+    (2, "image_count: 7\nnada", "Carta", 0, "image_count: 7\nnada"),
+    (3, "(3). Carta \\E [x] $1\ny", "Carta \\E [x] $1", 1, "![Carta \\E [x] $1](/img/a.webp)\ny"),
+]
+
+
+@query(f"SELECT id, replace(body, '~', chr(10)) AS body FROM {values([(b[0], b[4].replace(chr(10), '~')) for b in BODIES], 'v(id, body)')}")
+def q25_place_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([b[:4] for b in BODIES], "id int, body string, caption string, total int")
+    body = text.place_image(text.drop_image_comments(F.col("body")), F.col("caption"), F.lit("/img/a.webp"))
+    return rows.select("id", text.set_image_count(body, F.col("total")).alias("body"))
+
+
+# ---------------------------------------------------------------- dates
+
+DATED = [(1, "Revista, Año 3, DICIEMBRE de 2012"), (2, "Setiembre 2019 y enero 2020"), (3, "mayo (tomo segundo) 2001"), (4, "Agosto, 1999"), (5, None), (6, "junio/2021-2022")]
+
+
+@query(f"""
+SELECT id, CASE WHEN m <> '' THEN y || '-' || lpad(CAST(list_position(['enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre'], replace(m, 'setiembre', 'septiembre')) AS VARCHAR), 2, '0') END AS issue_date
+FROM (SELECT id, regexp_extract(t, p, 1) AS m, regexp_extract(t, p, 2) AS y FROM (SELECT id, lower(strip_accents(text)) AS t, '({"|".join(dates.MONTHS)}|setiembre)\\D{{0,10}}(20\\d{{2}})' AS p
+  FROM (SELECT * FROM {values(DATED, 'v(id, text)')} UNION ALL SELECT doc_id + 100, text FROM documents)))
+""")
+def q26_date_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select((F.col("doc_id") + 100).alias("id"), "text")
+    rows = spark.createDataFrame(DATED, "id long, text string").unionByName(docs)
+    return rows.select("id", dates.issue_date(F.lit(None).cast("string"), F.col("text"), F.lit("")).alias("issue_date"))
+
+
+@query("""
+SELECT ym, ['enero', 'febrero', 'marzo', 'abril', 'mayo', 'junio', 'julio', 'agosto', 'septiembre', 'octubre', 'noviembre', 'diciembre'][CAST(ym[6:7] AS INT)] || ' de ' || ym[1:4] AS pretty, count(*) AS n
+FROM (SELECT strftime(o_orderdate, '%Y-%m') AS ym FROM orders) GROUP BY ym
+""")
+def q27_pretty_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    months = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("ym")).agg(F.count("*").alias("n"))
+    return months.select("ym", dates.pretty_date(F.col("ym")).alias("pretty"), "n")
+
+
+# ---------------------------------------------------------------- sequences
+
+
+@query("""
+SELECT conv_id, turn, CASE WHEN nx IS NOT NULL AND nx <> 0 THEN greatest(nx - 1, p) END AS page_end FROM (
+  SELECT conv_id, turn, p, lead(p) OVER (PARTITION BY conv_id ORDER BY turn) AS nx FROM (SELECT conv_id, turn, CASE WHEN length(text) % 5 <> 0 THEN length(text) END AS p FROM conversations))
+""")
+def q28_lead_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.length("text") % 5 != 0, F.length("text")).alias("p"))
+    return pages.select("conv_id", "turn", sequence.lead_clamped("p", ["conv_id"], "turn").alias("page_end"))
+
+
+@query("""
+SELECT event_id, user_id, first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_purchase FROM events
+""")
+def q29_next_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("bought", F.when(F.col("event_type") == "purchase", F.col("event_id")))
+    return events.select("event_id", "user_id", sequence.next_non_null("bought", ["user_id"], "event_id").alias("next_purchase"))
+
+
+@query("""
+WITH w AS (SELECT doc_id, unnest(string_split_regex(text, '\\s+')) AS s, generate_subscripts(string_split_regex(text, '\\s+'), 1) AS pos FROM documents),
+m AS (SELECT *, lag(s) OVER o AS b FROM w WHERE s <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+i AS (SELECT *, sum(CASE WHEN b IS NOT NULL AND NOT regexp_matches(b, '[.!?:»”")]\\s*$') AND regexp_matches(s, '^\\p{Ll}') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM m)
+SELECT doc_id, island - 1 AS para, md5(string_agg(s, ' ' ORDER BY pos)) AS md5, count(*) AS words FROM i GROUP BY doc_id, island
+""")
+def q30_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word is a line: words in lower case continue those without an end sign."""
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "s")).where("s != ''")
+    joined = sequence.paragraphs(words, ["doc_id"], "pos", "s")
+    return joined.select("doc_id", "para", F.md5(F.col("text").cast("binary")).alias("md5"), F.size(F.split("text", " ")).alias("words"))
+
+
+_DANGLE_SQL = "[" + ", ".join(f"'{w}'" for w in sequence.DANGLING) + "]"
+
+
+@query(f"""
+WITH w AS (SELECT CAST(doc_id AS VARCHAR) AS issue_id, unnest(string_split_regex(text, '\\s+')) AS s, generate_subscripts(string_split_regex(text, '\\s+'), 1) AS ord FROM documents),
+m AS (SELECT *, list_contains({_DANGLE_SQL}, trim(lower(strip_accents(s)), '.,;:')) AS hangs FROM w WHERE s <> ''),
+i AS (SELECT *, sum(CASE WHEN coalesce(b, false) THEN 0 ELSE 1 END) OVER (PARTITION BY issue_id ORDER BY ord) AS island FROM (SELECT *, lag(hangs) OVER (PARTITION BY issue_id ORDER BY ord) AS b FROM m))
+SELECT issue_id, island - 1 AS ord, md5(string_agg(s, ' ' ORDER BY ord)) AS md5, min(ord) AS page FROM i GROUP BY issue_id, island HAVING count(*) > 1
+""")
+def q31_danglers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word is a title: those that end on a connecting word take the next one."""
+    words = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.posexplode(F.split("text", r"\s+")).alias("ord", "title")).where("title != ''")
+    merged = sequence.merge_danglers(words.withColumn("page", F.col("ord") + 1))
+    return merged.where(F.contains("title", F.lit(" "))).select("issue_id", "ord", F.md5(F.col("title").cast("binary")).alias("md5"), "page")
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\\p{{L}}]+|[.!?:;¡¿]')) AS tok, generate_subscripts(regexp_extract_all(text, '[\\p{{L}}]+|[.!?:;¡¿]'), 1) AS i FROM documents),
+m AS (SELECT *, coalesce(lag(tok) OVER (PARTITION BY doc_id ORDER BY i) IN ('.', '!', '?'), true) AS start FROM t),
+c AS (SELECT lower(tok) AS word, CAST(sum(CAST(regexp_matches(tok, '^\\p{{Lu}}') AND NOT start AS INT)) AS BIGINT) AS cap_mid, CAST(sum(CAST(NOT regexp_matches(tok, '^\\p{{Lu}}') AS INT)) AS BIGINT) AS lower
+  FROM m WHERE regexp_matches(tok, '^\\p{{L}}') AND NOT (length(tok) > 1 AND tok = upper(tok) AND regexp_matches(tok, '\\p{{Lu}}')) GROUP BY 1)
+SELECT * FROM c WHERE cap_mid >= 2 AND cap_mid > lower AND length(word) > 2 AND strip_accents(word) NOT IN ({", ".join(f"'{w}'" for w in sequence.STOP_PROPERS)})
+""")
+def q32_proper_nouns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.proper_nouns(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
+@query("SELECT user_id, event_type, min(event_id) AS first FROM events GROUP BY ALL")
+def q33_ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.ordered_distinct(table(spark, sf_dir, "events"), ["user_id"], "event_id", "event_type")
+
+
+def _blocks(spark: SparkSession) -> DataFrame:
+    rows = [(i, p, t, int(t) if t.strip().isdigit() else None) for i, lines in ISSUES.items() for p, t in enumerate(lines)]
+    return spark.createDataFrame(rows, "issue_id string, pos int, text string, pagenum int").withColumn("images", F.expr("cast(array() as array<string>)")).withColumn("hashes", F.expr("cast(array() as array<string>)"))
+
+
+ISSUES = {
+    "a": ["Portada", "DIRECTORIO", "2", "EDITORIAL ......", "3", "LA LOCOMOTORA DE", "VAPOR", "continúa aquí", "4", "9", "C O N T E N I D O", "LOS BARCOS", "SIN PÁGINA", "MASTHEAD SA", "cuerpo"],
+    "b": ["CONTENIDO", "EDITORIAL", "UN CAMINO DE", "HIERRO BUZÓN DE NOVEDADES", "EL CREDO", "1", "2", "3", "5", "MASTHEAD SA"],
+    "c": ["DIRECTORIO", "EDITORIAL", "LA CARTA", "2", "3", "7"],
+}
+BOUNDS = [("a", 1, 13), ("b", 0, 9), ("c", 0, 6)]
+TOKENS = [("a", 0, "title", "DIRECTORIO", None), ("a", 1, "num", None, 2), ("a", 2, "title", "EDITORIAL", None), ("a", 3, "num", None, 3), ("a", 4, "title", "LA LOCOMOTORA DE", None), ("a", 5, "title", "VAPOR continúa aquí", None), ("a", 6, "num", None, 4), ("a", 7, "num", None, 9), ("a", 8, "title", "LOS BARCOS", None), ("a", 9, "title", "SIN PÁGINA", None)]
+ENTRIES = [
+    ("a", 0, "DIRECTORIO", 2), ("a", 1, "EDITORIAL", 3), ("a", 2, "LA LOCOMOTORA DE VAPOR continúa aquí", 4), ("a", 3, "LOS BARCOS", None), ("a", 4, "SIN PÁGINA", None),
+    ("b", 0, "EDITORIAL", 1), ("b", 1, "UN CAMINO DE", 2), ("b", 2, "HIERRO BUZÓN DE NOVEDADES", 3), ("b", 3, "EL CREDO", 5), ("c", 0, "DIRECTORIO", 2), ("c", 1, "EDITORIAL", 3), ("c", 2, "LA CARTA", 7),
+]
+CORRECTED = [
+    ("a", 0, "DIRECTORIO", 2), ("a", 1, "EDITORIAL", 3), ("a", 2, "LA LOCOMOTORA DE VAPOR continúa aquí LOS BARCOS", 4), ("b", 0, "EDITORIAL", 1), ("b", 1, "UN CAMINO DE HIERRO", 2), ("b", 2, "BUZÓN DE NOVEDADES", 3), ("b", 3, "EL CREDO", 5), ("c", 0, "DIRECTORIO", 2), ("c", 1, "EDITORIAL", 3), ("c", 2, "LA CARTA", 7),
+]
+MANUAL = [("a", "drop", "Sin página"), ("a", "merge_prev", "los barcos")]
+
+
+def _entries(spark: SparkSession) -> DataFrame:
+    blocks = _blocks(spark)
+    tokens = sequence.toc_tokens(blocks, sequence.toc_bounds(blocks, "MASTHEAD"))
+    layout = sequence.toc_layout(tokens)
+    mixed = tokens.join(layout.where("interleaved"), "issue_id", "left_semi")
+    apart = tokens.join(layout.where("not interleaved"), "issue_id", "left_semi")
+    return sequence.interleaved_entries(mixed).unionByName(sequence.block_entries(apart))
+
+
+@query(f"SELECT * FROM {values(BOUNDS, 'v(issue_id, start, end_)')}")
+def q34_toc_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.toc_bounds(_blocks(spark), "MASTHEAD").withColumnRenamed("end", "end_")
+
+
+@query(f"SELECT * FROM {values(TOKENS, 'v(issue_id, idx, kind, title, page)')}")
+def q35_toc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = _blocks(spark).where("issue_id = 'a'")
+    return sequence.toc_tokens(blocks, sequence.toc_bounds(blocks, "MASTHEAD"))
+
+
+@query(f"SELECT * FROM {values(ENTRIES, 'v(issue_id, ord, title, page)')}")
+def q36_toc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _entries(spark)
+
+
+@query(f"SELECT * FROM {values(CORRECTED, 'v(issue_id, ord, title, page)')}")
+def q37_toc_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.toc_corrections(_entries(spark), spark.createDataFrame(MANUAL, "issue_id string, kind string, key string"))
+
+
+LOCATED = [("x", 0, "DIRECTORIO", 2, None), ("x", 1, "EDITORIAL", 3, 2), ("x", 2, "LA LOCOMOTORA", 5, None), ("x", 3, "BUZÓN DE NOVEDADES", 5, 6), ("x", 4, "LOS BARCOS", None, 9)]
+
+
+@query(f"""
+SELECT issue_id, ord, loc + 1 AS lo, CASE WHEN loc IS NOT NULL THEN coalesce(first_value(loc IGNORE NULLS) OVER w, 12) END AS hi, page AS page_start,
+  CASE WHEN lead(page) OVER (ORDER BY ord) IS NOT NULL THEN greatest(lead(page) OVER (ORDER BY ord) - 1, page) END AS page_end
+FROM {values(LOCATED, 'v(issue_id, ord, title, page, loc)')} WINDOW w AS (ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+""")
+def q38_section_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = spark.createDataFrame(LOCATED, "issue_id string, ord int, title string, page int, loc int")
+    return sequence.section_ranges(entries, spark.createDataFrame([("x", 12)], "issue_id string, n int")).select("issue_id", "ord", "lo", "hi", "page_start", "page_end")
+
+
+@query(f"SELECT * FROM {values([('x', 1, 'editorial', ''), ('x', 2, 'investigacion', 'empty-body heading-image-only'), ('x', 4, 'investigacion', '')], 'v(issue_id, ord, feature_type, review)')}")
+def q39_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = spark.createDataFrame(LOCATED, "issue_id string, ord int, title string, page int, loc int")
+    kept = sequence.articles(sequence.section_ranges(entries, spark.createDataFrame([("x", 12)], "issue_id string, n int")))
+    return kept.select("issue_id", "ord", "feature_type", F.array_join("review", " ").alias("review"))
+
+
+BODY = ["Primera línea que", "sigue aquí", "", "12", "VOLUMEN 3", "Título", "continúa así.", "nueva en minúscula", "Fin: ", "otra"]
+CLEANED = [("x", 1, 0, "Primera línea que sigue aquí continúa así."), ("x", 1, 1, "nueva en minúscula"), ("x", 1, 2, "Fin:"), ("x", 1, 3, "otra")]
+
+
+@query(f"SELECT * FROM {values(CLEANED, 'v(issue_id, section, para, text)')}")
+def q40_clean_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [("x", 1, p, t, int(t) if t.isdigit() else None) for p, t in enumerate(BODY)]
+    blocks = spark.createDataFrame(rows, "issue_id string, section int, pos int, text string, pagenum int")
+    return sequence.clean_body(blocks, spark.createDataFrame([("x", "TÍTULO")], "issue_id string, title string"))
+
+
+# ---------------------------------------------------------------- html
+
+PAGES = [
+    "<h1>Uno</h1><p>a</p>", "<p>a</p><p>Bibliografía: Ruiz</p><p>Dos</p><p></p> x <p>Tres</p><p>NUEVA SECCIÓN</p><p>z</p>", "<p>bibliografia consultada</p>\n<p>Uno</p>", "<p>Bibliografía</p>",
+    '<p><img src="a" alt=""></p>\n<p><img src="b" alt=""></p><p>t</p><p><img src="c" alt="Pie"></p><p><img src="d" alt=""></p>', '<p>x</p><p><img src="a" alt=""></p>texto<p><img src="b" alt=""></p>', "",
+]
+_IMG = '<img src="{}" alt="" loading="lazy" />'
+_BIB, _GAL, _FIG = '<h2 class="bib-heading">Bibliografía</h2>', '<div class="article-gallery">{}</div>', '<figure class="article-figure">{}<figcaption>{}</figcaption></figure>'
+RENDERED = [
+    "<p>a</p>", f'<p>a</p>{_BIB}<ul class="bibliography"><li>Ruiz</li><li>Dos</li><li>Tres</li></ul><p>NUEVA SECCIÓN</p><p>z</p>', f'{_BIB}<ul class="bibliography"><li>Uno</li></ul>', _BIB,
+    "\n" + _GAL.format(_IMG.format("a") + _IMG.format("b")) + "<p>t</p>" + _FIG.format(_IMG.format("c"), "Pie") + _GAL.format(_IMG.format("d")), "<p>x</p>" + _GAL.format(_IMG.format("a")) + "texto" + _GAL.format(_IMG.format("b")), "",
+]
+SOURCES = [None, None, None, None, "a", "a", None]
+
+
+@query("SELECT page_id, regexp_replace(html, '^\\s*<h1[^>]*>.*?</h1>\\s*', '', 'i') AS html FROM (SELECT page_id, regexp_replace(html, '(?s)^.*?(<h1)', '\\1') AS html FROM pages)")
+def q41_strip_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page from its first heading on, without it."""
+    own = F.regexp_replace("html", r"(?s)\A.*?(<h1)", "$1")
+    return table(spark, sf_dir, "pages").select("page_id", html.strip_leading_title(own).alias("html"))
+
+
+@query(f"SELECT id, replace(html, '~', chr(10)) AS html, image FROM {values([(k, h.replace(chr(10), '~'), s) for k, (h, s) in enumerate(zip(RENDERED, SOURCES, strict=True))], 'v(id, html, image)')}")
+def q42_article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.createDataFrame(list(enumerate(PAGES)), "id int, html string")
+    return pages.select("id", html.article_body(F.col("html")).alias("html"), html.first_image_src(F.col("html")).alias("image"))
+
+
+# ---------------------------------------------------------------- matching
+
+
+@query("""
+SELECT a.user_id, a.event_id AS cap_pos, b.event_id AS pos, CASE WHEN b.event_id <= a.event_id THEN a.event_id - b.event_id ELSE 3 + b.event_id - a.event_id END AS preference
+FROM events a JOIN events b ON a.user_id = b.user_id AND b.event_id BETWEEN a.event_id - 3 AND a.event_id + 3 WHERE a.event_type = 'click' AND b.event_type <> 'click'
+""")
+def q43_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    clicks = events.where("event_type = 'click'").select(F.col("user_id").alias("article_id"), F.col("event_id").alias("cap_pos"))
+    others = events.where("event_type != 'click'").select(F.col("user_id").alias("article_id"), F.col("event_id").alias("pos"), F.lit("f").alias("file"))
+    return matching.caption_candidates(clicks, others).select(F.col("article_id").alias("user_id"), "cap_pos", "pos", "preference")
+
+
+CAPTION_ROWS = [("a", 2), ("a", 3), ("a", 9), *[("b", k) for k in range(9)], ("c", 0)]
+IMAGE_ROWS = [("a", 2, 0, "x"), ("a", 1, 0, "y"), ("a", 5, 0, "x"), ("a", 5, 1, "z"), ("a", 20, 0, "w"), ("a", 21, 0, "w"), ("b", 0, 0, "q"), ("c", 4, 0, "far"), ("c", 3, 0, "near")]
+CLAIMED = [("a", 2, "x"), ("a", 3, "y"), ("a", 9, None), ("c", 0, "near")]
+GALLERY = [("a", "z", 5), ("a", "w", 20), ("b", "q", 0), ("c", "far", 4)]
+
+
+def _claimed(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    images = spark.createDataFrame(IMAGE_ROWS, "article_id string, pos int, ord int, file string")
+    return images, matching.match_captions(spark.createDataFrame(CAPTION_ROWS, "article_id string, cap_pos int"), images)
+
+
+@query(f"SELECT * FROM {values(CLAIMED, 'v(article_id, cap_pos, file)')}")
+def q44_match_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _claimed(spark)[1]
+
+
+@query(f"SELECT * FROM {values(GALLERY, 'v(article_id, file, pos)')}")
+def q45_gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images, matched = _claimed(spark)
+    return matching.gallery(images, matched).select("article_id", "file", F.col("first.pos").alias("pos"))
+
+
+@query()
+def q46_fuzzy_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names against those that share their first word's brand and size; difflib's ratio has no SQL form."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", text.norm_key(F.col("p_name")).alias("key"))
+    other = part.select(F.col("p_partkey").alias("other"), "p_brand", "p_size", F.col("key").alias("other_key"))
+    pairs = part.join(other, ["p_brand", "p_size"]).where("p_partkey < other")
+    return matching.ratio(pairs, "key", "other_key").select("p_partkey", "other", "score")
+
+
+HEADINGS = {"x": ["EDITORIAL", "texto", "EDITORIAL", "cuerpo LA LOCOMOTORA", "LA LOCOMOTRA", "por Ana", "aquí empieza Carlos", "LOS BARCOS DE VAPOR Y MÁS", "fin"]}
+WANTED = [("x", 0, "DIRECTORIO", None), ("x", 1, "EDITORIAL", 2), ("x", 2, "LA LOCOMOTORA", 4), ("x", 3, "EL MÚSICO", 4), ("x", 4, "LOS BARCOS DE VAPOR", 7), ("x", 5, "NO ESTÁ", None)]
+
+
+@query(f"SELECT issue_id, ord, loc FROM {values(WANTED, 'v(issue_id, ord, title, loc)')}")
+def q47_locate_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(i, p, t, []) for i, lines in HEADINGS.items() for p, t in enumerate(lines)]
+    blocks = spark.createDataFrame(rows, "issue_id string, pos int, text string, hashes array<string>")
+    entries = spark.createDataFrame([w[:3] for w in WANTED], "issue_id string, ord int, title string")
+    anchors = spark.createDataFrame([("x", "El músico", "EMPIEZA carlos")], "issue_id string, key string, phrase string")
+    return matching.locate_headings(blocks, entries, sequence.body_start(blocks), anchors=anchors)
+
+
+MERGED = [("m", 0, "EDITORIAL"), ("m", 1, "B DE C"), ("m", 2, "LARGO TITULO X")]
+
+
+@query(f"SELECT * FROM {values(MERGED, 'v(issue_id, idx, title)')}")
+def q48_merge_to_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [("m", k, t, 3) for k, t in enumerate(["EDITORIAL", "B DE", "C", "LARGO TITULO", "X"])]
+    return matching.merge_to_count(spark.createDataFrame(rows, "issue_id string, idx int, title string, target int"))
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+
+def _header(c: dict[str, Column]) -> Column:
+    return F.concat(F.lit('---\ntitle_es: "'), c["p_name"], F.lit('"   # a note\nseries: '), c["p_size"].cast("string"), F.lit("\nvolume: 3\nseries: "), (c["p_size"] + 1).cast("string"), F.lit('\nauthor: "'), c["p_brand"], F.lit('"\nthemes: ["'), c["p_type"], F.lit('", b ,]\npage_end: null\nBad: x\n---\nbody'))
+
+
+@query("""
+SELECT CAST(p_size + 1 AS VARCHAR) AS series, '3' AS volume, '' AS issue_date, lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') AS "order", p_name AS title_es, '"Brand' AS author, '' AS feature_type, p_type || '; b' AS themes, '' AS page_start, 'null' AS page_end, '' AS image_count, '' AS review,
+  'serie-1/' || lpad(CAST(p_partkey % 100 AS VARCHAR), 2, '0') || '-' || p_partkey || '.md' AS file FROM part
+""")
+def q49_front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    path = F.concat(F.lit("/c/serie-1/"), F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0"), F.lit("-"), F.col("p_partkey").cast("string"), F.lit(".md"))
+    files = part.select(path.alias("path"), _header({k: F.col(k) for k in part.columns}).alias("text"))
+    return front_matter.index_rows(files, "/c/")
+
+
+@query("SELECT p_partkey, p_size + 1 AS series, CAST(NULL AS INT) AS page_end, p_type || '|b' AS themes, 'es' AS langs, 'body' AS body FROM part")
+def q50_typed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    files = part.select(F.col("p_partkey").cast("string").alias("path"), _header({k: F.col(k) for k in part.columns}).alias("text"))
+    found = front_matter.articles(files)
+    return found.select(F.col("id").cast("long").alias("p_partkey"), "series", "page_end", F.array_join("themes", "|").alias("themes"), F.array_join("lang_available", "|").alias("langs"), "body")
+
+
+@query("""SELECT page_id, '{"html":"' || replace(replace(replace(replace(url, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), '/', '/') || '"}' AS body FROM pages""")
+def q51_body_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", sinks.body_json(F.col("url")).alias("body"))
+
+
+@query("SELECT p_partkey, CAST(CASE WHEN greatest(w, h) > 1400 THEN round_even(w * 1400.0::DOUBLE / greatest(w, h), 0) ELSE w END AS INT) AS width, CAST(CASE WHEN greatest(w, h) > 1400 THEN round_even(h * 1400.0::DOUBLE / greatest(w, h), 0) ELSE h END AS INT) AS height FROM (SELECT p_partkey, p_size * 50 AS w, CAST(p_partkey % 3000 + 1 AS INT) AS h FROM part)")
+def q52_fitted_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 50).alias("w"), (F.col("p_partkey") % 3000 + 1).cast("int").alias("h"))
+    return sizes.select("p_partkey", sinks.fitted_size(F.col("w"), F.col("h")).alias("s")).select("p_partkey", "s.width", "s.height")
+
+
+CONTENTS = "| Directorio | 2 | — |~| EDITORIAL | 3 | [01](01-editorial.md) |~| LA LOCOMOTORA | 5 | [02](02-la-locomotora.md) |~| LOS BARCOS | ? | [04](04-los-barcos.md) |"
+
+
+@query(f"SELECT 'x' AS issue_id, replace('{CONTENTS}', '~', chr(10)) AS contents")
+def q53_contents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = spark.createDataFrame([r[:4] for r in LOCATED], "issue_id string, ord int, title string, page int")
+    return sinks.contents_table(entries)
+
+
+SCRAPED = "x = [ { id: 'serie-1/a' }, // { id:  'serie-2/b.md' }\n { name: 'no' } ]"
+
+
+@query(f"SELECT * FROM {values([(0, 'serie-1/a'), (1, 'serie-2/b.md')], 'v(queue_pos, id)')}")
+def q54_queue_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return front_matter.queue_ids(spark.createDataFrame([(SCRAPED,)], "text string"))
+
+
+@query("SELECT c_custkey, CASE WHEN contains(c_name, '7') THEN c_name END AS found FROM customer WHERE contains(c_name, '7')")
+def q55_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = table(spark, sf_dir, "customer")
+    return customer.join(matching.select_or_self(customer, "c_name", "7"), "c_name").select("c_custkey", F.col("c_name").alias("found"))
