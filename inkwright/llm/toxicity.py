@@ -81,31 +81,50 @@ class Chain:
         return out
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l1: float = 2e-3, l2: float = 1e-4, steps: int = 150, dense: int = 0) -> tuple[np.ndarray, float]:
-    """(weights, bias) by accelerated proximal gradient; the last ``dense`` columns carry no L1 penalty."""
-    n, d = x.shape
+class Sparse:
+    """Rows of present features (index[starts[i]:starts[i + 1]] of ``width``), and dense columns beside them; columns are scaled."""
+
+    def __init__(self, starts: np.ndarray, index: np.ndarray, width: int, dense: np.ndarray):
+        self.starts, self.index, self.width, self.dense = starts, index, width, dense
+        n = max(1, len(dense))
+        self.scale = np.concatenate((np.sqrt(np.bincount(index, minlength=width) / n), np.sqrt((dense * dense).mean(0)) if len(dense) else np.ones(dense.shape[1]))) + 1e-3
+
+    def rows(self, kept: np.ndarray) -> Sparse:
+        size = np.diff(self.starts)
+        return Sparse(np.concatenate(([0], np.cumsum(size[kept]))), self.index[np.repeat(kept, size)], self.width, self.dense[kept])
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """Products with unscaled weights."""
+        return W.sums(w[: self.width][self.index], self.starts) + self.dense @ w[self.width :]
+
+    def back(self, r: np.ndarray) -> np.ndarray:
+        each = np.bincount(self.index, weights=np.repeat(r, np.diff(self.starts)), minlength=self.width)
+        return np.concatenate((each, self.dense.T @ r))
+
+
+def fit_logistic(x: Sparse, y: np.ndarray, l1: float = 2e-3, l2: float = 1e-4, steps: int = 150) -> tuple[np.ndarray, float]:
+    """(weights, bias) by accelerated proximal gradient; dense columns carry no L1 penalty."""
+    n, d = len(y), len(x.scale)
     if y.min() == y.max():
         return np.zeros(d), 8.0 if y[0] else -8.0
-    scale = np.sqrt((x * x).mean(0)) + 1e-3
-    z = (x / scale).astype(np.float32)
+    times, back = lambda w: x.times(w / x.scale), lambda r: x.back(r) / x.scale
     penalty = np.full(d, l1)
-    penalty[d - dense :] = 0
-    v = np.ones(d, np.float32) / np.sqrt(d)
+    penalty[x.width :] = 0
+    v = np.ones(d) / np.sqrt(d)
     for _ in range(12):  # largest curvature by power iteration
-        v = z.T @ (z @ v)
+        v = back(times(v))
         v /= np.linalg.norm(v) + 1e-12
-    rate = 1 / (0.25 * (float(np.linalg.norm(z @ v)) ** 2 / n + 1) + l2)
+    rate = 1 / (0.25 * (float(np.linalg.norm(times(v))) ** 2 / n + 1) + l2)
     w, b = np.zeros(d), float(np.log(y.mean() / (1 - y.mean())))
     pw, pb, t = w, b, 1.0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ pw.astype(np.float32) + pb, -30, 30)))
-        g = z.T @ (p - y).astype(np.float32) / n + l2 * pw
-        u = pw - rate * g
-        nw, nb = np.sign(u) * np.maximum(np.abs(u) - rate * penalty, 0), pb - rate * float((p - y).mean())
+        r = 1 / (1 + np.exp(-np.clip(times(pw) + pb, -30, 30))) - y
+        u = pw - rate * (back(r) / n + l2 * pw)
+        nw, nb = np.sign(u) * np.maximum(np.abs(u) - rate * penalty, 0), pb - rate * float(r.mean())
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         pw, pb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
-    return w / scale, b
+    return w / x.scale, b
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE) -> Chain:
@@ -146,24 +165,23 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
         used = rows.select("doc_id", F.explode("features").alias("f")).join(F.broadcast(wanted), "f").groupBy("doc_id").agg(F.sort_array(F.collect_list("i")).alias("i"))
         # bounded: sample rows of at most FEATURES numbers a category
         gathered = rows.select("doc_id", *categories).join(used, "doc_id", "left").orderBy("doc_id").toArrow()
-    x = np.zeros((gathered.num_rows, len(vocabulary)), np.float32)
-    for k, own in enumerate(gathered["i"].to_pylist()):
-        x[k, own or []] = 1
+    own = [i or [] for i in gathered["i"].to_pylist()]
+    starts = np.concatenate(([0], np.cumsum([len(i) for i in own])))
+    index = np.array([f for i in own for f in i], np.int64)
     y = {c: gathered[c].to_numpy().astype(np.float64) for c in categories}
     fold = np.array([xxhash.xxh64_intdigest(str(i)) % FOLDS for i in gathered["doc_id"].to_pylist()])
-    earlier = np.zeros((len(x), 0))
-    links, held = [], np.zeros(len(x))
+    earlier, held, d = np.zeros((len(own), 0)), np.zeros(len(own)), len(vocabulary)
+    links = []
     for c in categories:
-        z = np.hstack((x, earlier / 10)).astype(np.float32)
-        held = np.zeros(len(x))
+        x = Sparse(starts, index, d, earlier)
+        held = np.zeros(len(own))
         for k in range(FOLDS):
             inside = fold != k
             if inside.any() and not inside.all():
-                w, b = fit_logistic(z[inside], y[c][inside], dense=earlier.shape[1])
-                held[~inside] = np.clip(z[~inside] @ w + b, -30, 30)
-        w, b = fit_logistic(z, y[c], dense=earlier.shape[1])
-        d = len(vocabulary)
-        links.append(Link(c, float(b), {int(vocabulary[i]): float(w[i]) for i in np.flatnonzero(w[:d])}, [float(v) / 10 for v in w[d:]]))
+                w, b = fit_logistic(x.rows(inside), y[c][inside])
+                held[~inside] = np.clip(x.rows(~inside).times(w) + b, -30, 30)
+        w, b = fit_logistic(x, y[c])
+        links.append(Link(c, float(b), {int(vocabulary[i]): float(w[i]) for i in np.flatnonzero(w[:d])}, [float(v) for v in w[d:]]))
         earlier = np.hstack((earlier, held[:, None]))
     return Chain(links, _threshold(1 / (1 + np.exp(-held)), y[categories[-1]]))
 
