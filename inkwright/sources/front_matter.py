@@ -15,7 +15,7 @@ LISTS = ("themes", "review", "lang_available")
 
 def read_markdown(spark: SparkSession, glob: str) -> DataFrame:
     """path and text of whole files; readers skip names that begin with an underscore."""
-    return spark.read.option("wholetext", True).text(glob).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return spark.read.text(glob, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
 def header(c: Column) -> Column:

@@ -11,7 +11,7 @@ from inkwright.sources import front_matter
 
 def watch_articles(spark: SparkSession, folder: str) -> DataFrame:
     """Index rows of Markdown files below a folder, as a streaming DataFrame."""
-    files = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(folder)
+    files = spark.readStream.text(folder, wholetext=True, pathGlobFilter="*.md", recursiveFileLookup=True)
     return front_matter.index_rows(files.select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
