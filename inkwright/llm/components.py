@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inkwright.llm import workspace
@@ -19,40 +19,46 @@ from inkwright.llm import workspace
 
 def components(links: DataFrame, scratch: workspace.Scratch, most_rounds: int = 60) -> DataFrame:
     """Rows (node, root) of links (a, b): each linked node and the smallest it can reach. Nodes without links have none."""
-    star = scratch.table(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    state = _state(star)
-    for _ in range(most_rounds):
-        large = _large(star)
-        star = scratch.table(_small(large), "links")
-        if (now := _state(star)) == state:
+    star, state = _written(_oriented(links).distinct(), scratch)
+    for _ in range(most_rounds if state[0] else 0):
+        star, now = _written(_small(_large(star)), scratch)
+        if now == state:
             break
         state = now
     else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return scratch.table(star.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(star.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct(), "components")
+        if state[0]:
+            raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    nodes = star.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return scratch.table(nodes.unionByName(star.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "components")
 
 
-def _state(star: DataFrame) -> tuple:
-    """Count and order-free hash of the links; equal before and after a round only at its end."""
-    row = star.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("b", "a"))).first()
-    return tuple(row)
+def _written(star: DataFrame, scratch: workspace.Scratch) -> tuple[DataFrame, tuple]:
+    """The links as a table, with their count and order-free hashes: these are equal before and after a round only at the end."""
+    seen = Observation()
+    marked = star.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("b", "a")).alias("x"))
+    table = scratch.table(marked, "links")
+    return table, (seen.get["n"], seen.get["s"], seen.get["x"])
+
+
+def _oriented(links: DataFrame) -> DataFrame:
+    return links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def _large(star: DataFrame) -> DataFrame:
     both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
 
 
 def _small(star: DataFrame) -> DataFrame:
-    down = star.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    down = _oriented(star)
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     moved = down.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    return _oriented(moved).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-PIVOTS = 8
-ROUNDS = 3
+PIVOTS = 4
+ROUNDS = 2
 
 
 def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: workspace.Scratch) -> DataFrame:
@@ -66,9 +72,8 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
     those of all pairs; a band whose members belong together costs a number of
     pairs in proportion to its size.
     """
-    done = None
+    roots = components(links, scratch)
     for turn in range(ROUNDS + 1):
-        roots = components(links, scratch)
         state = many.join(roots, many["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root"))
         state = scratch.table(state, "state")
         by_root = state.groupBy("band", "root").agg(F.count("*").alias("n"))
@@ -86,9 +91,8 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
             pivots = split.select("band", F.col("id").alias("b"), F.col("root").alias("rb"))
             every = lone
         meet = every.join(pivots, "band").where("ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if done is not None:
-            meet = meet.join(done, ["a", "b"], "left_anti")
-        meet = scratch.table(meet, "pairs")
-        done = meet if done is None else done.unionByName(meet)
-        links = links.unionByName(verify(meet))
+        found = verify(scratch.table(meet, "pairs"))
+        if turn < ROUNDS:
+            roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), scratch)
+        links = links.unionByName(found)
     return links

@@ -210,16 +210,16 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     found = exact_dedup(docs)
     gone = found.where("not kept").select("doc_id", "keep_id", "text_sha256")
     # rows of a doc_id that goes; a doc_id that stays with one of several rows needs a choice among them
-    goes = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", F.unhex("text_sha256").alias("_digest")).distinct()
-    again = gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", F.unhex("text_sha256").alias("_digest")).distinct()
-    tagged = docs.withColumn("_digest", digest(F.col("text")))
-    on = lambda side: tagged["_digest"].eqNullSafe(side["_digest"]) & tagged["doc_id"].eqNullSafe(side["doc_id"])
+    goes = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", F.unhex("text_sha256").alias("__iw_digest")).distinct()
+    again = gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", F.unhex("text_sha256").alias("__iw_digest")).distinct()
+    tagged = docs.withColumn("__iw_digest", digest(F.col("text")))
+    on = lambda side: tagged["__iw_digest"].eqNullSafe(side["__iw_digest"]) & tagged["doc_id"].eqNullSafe(side["doc_id"])
     goes = workspace.small_side(goes, 64)
     stays = tagged.join(goes, on(goes), "left_anti")
     if again.isEmpty():
-        return stays.drop("_digest")
+        return stays.drop("__iw_digest")
     again = workspace.small_side(again, 64)
-    single = stays.join(again, (stays["_digest"] == again["_digest"]) & stays["doc_id"].eqNullSafe(again["doc_id"]), "left_anti").drop("_digest")
-    several = stays.join(again, (stays["_digest"] == again["_digest"]) & stays["doc_id"].eqNullSafe(again["doc_id"]), "left_semi")
-    one = several.groupBy("doc_id", "_digest").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
+    single = stays.join(again, (stays["__iw_digest"] == again["__iw_digest"]) & stays["doc_id"].eqNullSafe(again["doc_id"]), "left_anti").drop("__iw_digest")
+    several = stays.join(again, (stays["__iw_digest"] == again["__iw_digest"]) & stays["doc_id"].eqNullSafe(again["doc_id"]), "left_semi")
+    one = several.groupBy("doc_id", "__iw_digest").agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*")
     return single.unionByName(one)

@@ -60,15 +60,15 @@ def uniform(*of: Column, seed: int = 0) -> Column:
     return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def mix(docs: DataFrame, quality: DataFrame | None = None, split: bool = True, seed: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, and the columns named in carry.
+def mix(docs: DataFrame, quality: DataFrame | None = None, split: bool = True, seed: int = 0) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken.
 
     ``quality`` has weights (doc_id, weight > 0); documents without one weigh 1.
     With ``split`` the document in which a budget ends gives only the words that
     are left; without, it is taken whole if that comes nearer to the budget.
     """
     with workspace.Scratch(docs.sparkSession) as scratch:
-        own = docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("_hash"), *carry)
+        own = docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("_hash"))
         rows = scratch.table(own, "sizes")
         sources = scratch.table(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")), "sources")
         budget = scratch.table(targets(sources.select("source", "source_size")).join(sources.select(F.col("source").alias("_s"), "_rows"), F.col("source").eqNullSafe(F.col("_s"))).select(
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, split: bool = True, s
         last = F.greatest(none, F.least(whole, over)) if split else F.when((over > 0) & (2 * over >= whole), whole).otherwise(none)
         edge = met.where("_bin = _end").withColumn("_more", last)
         taken = (F.col("_epochs") * F.col("size") + F.col("_more")).alias("taken")
-        return scratch.keep(done.unionByName(edge).select("doc_id", "size", "source_size", "target", taken, *carry))
+        return scratch.keep(done.unionByName(edge).select("doc_id", "size", "source_size", "target", taken))
 
 
 def mixed(docs: DataFrame, quality: DataFrame | None = None, seed: int = 0) -> DataFrame:
@@ -112,6 +112,6 @@ def mixed(docs: DataFrame, quality: DataFrame | None = None, seed: int = 0) -> D
     as often as the largest of them.
     """
     plan = mix(docs, quality, split=False, seed=seed)
-    times = plan.where("size > 0").groupBy("doc_id").agg(F.max(F.floor(F.col("taken") / F.col("size"))).cast("int").alias("_times")).where("_times > 0")
-    known = docs.join(workspace.small_side(times.withColumnRenamed("doc_id", "_id"), 20), docs["doc_id"].eqNullSafe(F.col("_id"))).drop("_id")
-    return known.where(words(F.col("text")) > 0).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    times = plan.where("size > 0").groupBy("doc_id").agg(F.max(F.floor(F.col("taken") / F.col("size"))).cast("int").alias("__iw_times")).where("__iw_times > 0")
+    known = docs.join(workspace.small_side(times.withColumnRenamed("doc_id", "__iw_id"), 20), docs["doc_id"].eqNullSafe(F.col("__iw_id"))).drop("__iw_id")
+    return known.where(words(F.col("text")) > 0).withColumn("__iw_nth", F.explode(F.sequence(F.lit(1), F.col("__iw_times")))).select(*docs.columns)

@@ -14,8 +14,8 @@ larger bands classes are linked by way of pivots (``components.link_large``):
 every pair that shares a band is compared or already in one component, and a
 band of near copies costs a number of pairs in proportion to its size.
 
-Rows with the same doc_id are one document, of which one text is compared.  Rows
-without doc_id are never linked, are kept, and their component_id is null.  Null texts count as
+doc_id is to be unique: of rows that share one, each has the component of its own
+text, and one text of a class's smallest doc_id is compared.  Rows without doc_id are never linked, are kept, and their component_id is null.  Null texts count as
 empty; an empty table gives no rows.
 """
 
@@ -38,6 +38,9 @@ BANDS, ROWS = 21, 6
 HASHES = BANDS * ROWS
 BATCH = 21  # hashes compared at a time; divides HASHES
 MISS = 1e-6
+#: Numbers for each shingle take several times a text's bytes, so slices are small.
+SLICE = 2 << 20
+MEMO = 150_000
 ALL_PAIRS = 24
 
 
@@ -138,10 +141,10 @@ def _sets(documents: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, print (16 bytes of the set), signature."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = W.Memo(hash_words)
+        memo = W.Memo(hash_words, MEMO)
         for batch in batches:
             text = W.texts(batch.column("text"))
-            for at, part in W.slices(text):
+            for at, part in W.slices(text, SLICE):
                 starts, hashes = distinct(*shingles(part, width, memo))
                 n = np.diff(starts)
                 raw = memoryview(hashes).cast("B") if len(hashes) else b""
@@ -191,7 +194,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, scratc
     left = scratch.table(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInArrow(prune, "a long, b long"), "survivors")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = W.Memo(hash_words)
+        memo = W.Memo(hash_words, MEMO)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -237,9 +240,11 @@ def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataF
         links = verify(scratch.table(pairs, "pairs"))
         if not many.isEmpty():
             links = components.link_large(many.select("band", "id"), links, verify, scratch)
-        same = known.where("n_shingles > 0").select("doc_id", "print").join(class_of.select("print", "id"), "print").where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-        roots = components.components(links.unionByName(same), scratch)
-        out = known.join(roots, known["doc_id"] == roots["node"], "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+        roots = components.components(links, scratch)
+        # copies take their class's component; they are in no link
+        of_class = class_of.select("print", "id").join(workspace.small_side(roots.withColumnRenamed("node", "id"), 24), "id", "left").select("print", F.coalesce("root", "id").alias("root"))
+        found = known.join(workspace.small_side(scratch.table(of_class, "roots"), 48), "print", "left")
+        out = found.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
         out = out.unionByName(sets.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
         return scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
