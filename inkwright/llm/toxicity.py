@@ -2,8 +2,8 @@
 
 Categories are predicted one after the other by logistic models with an L1
 penalty over the words of a text (a word, and its first four and five letters,
-present or not).  Each model also gets the logits of the categories before it;
-in training these come from out-of-fold models, so that a later model sees
+present or not).  Each model also gets the probabilities of the categories before
+it; in training these come from out-of-fold models, so that a later model sees
 predictions as uncertain as those it will get.  A text is rejected if the last
 category's probability reaches a threshold, chosen on out-of-fold predictions.
 
@@ -77,10 +77,14 @@ class Chain:
         """Logits of each category from the sums of its feature weights."""
         out = np.empty_like(sums)
         for k, link in enumerate(self.links):
-            out[:, k] = np.clip(sums[:, k] + link.bias + sum((w * out[:, j] for j, w in enumerate(link.earlier)), 0.0), -30, 30)
+            out[:, k] = np.clip(sums[:, k] + link.bias + sum((w * sigmoid(out[:, j]) for j, w in enumerate(link.earlier)), 0.0), -30, 30)
         return out
 
 
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-z))
+
+
 class Sparse:
     """Rows of present features (index[starts[i]:starts[i + 1]] of ``width``), and dense columns beside them; columns are scaled."""
 
@@ -118,7 +122,7 @@ def fit_logistic(x: Sparse, y: np.ndarray, l1: float = 2e-3, l2: float = 1e-4, s
     w, b = np.zeros(d), float(np.log(y.mean() / (1 - y.mean())))
     pw, pb, t = w, b, 1.0
     for _ in range(steps):
-        r = 1 / (1 + np.exp(-np.clip(times(pw) + pb, -30, 30))) - y
+        r = sigmoid(np.clip(times(pw) + pb, -30, 30)) - y
         u = pw - rate * (back(r) / n + l2 * pw)
         nw, nb = np.sign(u) * np.maximum(np.abs(u) - rate * penalty, 0), pb - rate * float(r.mean())
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -182,8 +186,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
                 held[~inside] = np.clip(x.rows(~inside).times(w) + b, -30, 30)
         w, b = fit_logistic(x, y[c])
         links.append(Link(c, float(b), {int(vocabulary[i]): float(w[i]) for i in np.flatnonzero(w[:d])}, [float(v) for v in w[d:]]))
-        earlier = np.hstack((earlier, held[:, None]))
-    return Chain(links, _threshold(1 / (1 + np.exp(-held)), y[categories[-1]]))
+        earlier = np.hstack((earlier, sigmoid(held)[:, None]))
+    return Chain(links, _threshold(sigmoid(held), y[categories[-1]]))
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -216,7 +220,7 @@ def _scorer(chain: Chain):
             pairs = sorted({(d, f) for d, i in zip(doc.tolist(), found.index[at].tolist(), strict=True) for f in of[i]})
             d, f = np.array(pairs).T
             np.add.at(sums, d, rows[f])
-        return 1 / (1 + np.exp(-chain.logits(sums)))
+        return sigmoid(chain.logits(sums))
 
     return score
 

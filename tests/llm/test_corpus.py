@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -92,7 +93,7 @@ def test_media_round_trip(spark):
             assert size == len(raw) and samples.tobytes() == padded
         assert sorted((tuple(r)[:7] for r in read), key=repr) == sorted(want, key=repr)
         # one damaged member is told, and only that one
-        path = written[0][0].removeprefix("file://")
+        path = urlparse(written[0][0]).path
         with open(path, "r+b") as f:
             f.seek(60)
             byte = f.read(1)
@@ -154,7 +155,8 @@ def test_mixing_prefers_quality(spark):
     weights = spark.createDataFrame([(k, 4.0 if k % 2 else 0.25) for k in range(3000)], "doc_id long, weight double")
     out = mixing.mix(helpers.documents(spark, rows), weights).where("target < source_size").collect()
     share = lambda odd: np.mean([r.taken > 0 for r in out if r.doc_id % 2 == odd])
-    assert share(1) > 2 * share(0)
+    # the source between gives five sixths of its words: all of the heavy half, so two thirds of the light one
+    assert share(1) > 0.99 and 0.6 < share(0) < 0.7
 
 
 def test_pipeline(spark, tmp_path):
