@@ -61,7 +61,7 @@ PIVOTS = 4
 ROUNDS = 2
 
 
-def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: workspace.Scratch) -> DataFrame:
+def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], scratch: workspace.Scratch, rounds: int = ROUNDS, rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """links (a, b) and those that large groups add, of rows (band, id) of which those in one band may be linked.
 
     ``verify`` keeps the pairs (a, b) that are links.  First each member of a
@@ -70,10 +70,12 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
     and those that still remain meet all others of the band.  In the end, all
     pairs of a band were compared or are in one component, so components are
     those of all pairs; a band whose members belong together costs a number of
-    pairs in proportion to its size.
+    pairs in proportion to its size.  ``rest``, if given, finds what is left after
+    the rounds instead: from rows (band, id, root) of the bands with several
+    components, links that connect all that belong together.
     """
     roots = components(links, scratch)
-    for turn in range(ROUNDS + 1):
+    for turn in range(rounds + 1):
         state = many.join(roots, many["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root"))
         state = scratch.table(state, "state")
         by_root = state.groupBy("band", "root").agg(F.count("*").alias("n"))
@@ -82,8 +84,10 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
         if main.isEmpty():
             break
         split = scratch.table(state.join(main, "band"), "split")
+        if turn == rounds and rest is not None:
+            return links.unionByName(rest(split.select("band", "id", "root")))
         lone = split.where("root != main").select("band", F.col("id").alias("a"), F.col("root").alias("ra"))
-        if turn < ROUNDS:  # pivots have the least hashes, others in each round; partial minima pick them
+        if turn < rounds:  # pivots have the least hashes, others in each round; partial minima pick them
             salted = split.withColumn("_k", F.xxhash64(F.lit(turn), "id")).withColumn("_s", F.pmod("_k", F.lit(PIVOTS)))
             pivots = salted.groupBy("band", "_s").agg(F.min(F.struct("_k", "id", "root")).alias("p")).select("band", F.col("p.id").alias("b"), F.col("p.root").alias("rb"))
             every = lone if turn else split.select("band", F.col("id").alias("a"), F.col("root").alias("ra"))
@@ -92,7 +96,7 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
             every = lone
         meet = every.join(pivots, "band").where("ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = verify(scratch.table(meet, "pairs"))
-        if turn < ROUNDS:
+        if turn < rounds:
             roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), scratch)
         links = links.unionByName(found)
     return links

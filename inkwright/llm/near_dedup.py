@@ -9,10 +9,11 @@ the pair is dropped as soon as the chance that its similarity reaches the
 threshold, given the matches so far (uniform prior), is below ``miss``.  Pairs
 that survive are verified on their whole sets; only those are links.
 
-Bands shared by many classes: up to ``all_pairs`` classes meet pairwise.  In
-larger bands classes are linked by way of pivots (``components.link_large``):
-every pair that shares a band is compared or already in one component, and a
-band of near copies costs a number of pairs in proportion to its size.
+Bands shared by many classes: up to ``ALL_PAIRS`` classes meet pairwise.  In
+larger bands classes first meet a few pivots (``components.link_large``); what
+these leave apart is linked by its differences from one pivot (``_dense``).  So
+no band is compared in all pairs, and every pair that shares a band is compared,
+or in one component, or shown to be no link.
 
 doc_id is to be unique: of rows that share one, each has the component of its own
 text, and one text of a class's smallest doc_id is compared.  Rows without doc_id are never linked, are kept, and their component_id is null.  Null texts count as
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwright.llm import components, workspace, words as W
@@ -211,14 +212,111 @@ def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, scratc
             keep = pa.array(keep)
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
-    wanted = left.select(F.col("a").alias("doc_id")).union(left.select("b")).distinct()
-    wanted = scratch.table(wanted, "wanted")
-    texts = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text").join(workspace.small_side(wanted, 16), "doc_id", "left_semi")
-    texts = scratch.table(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    both = left.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+    texts = _texts(documents, left.select(F.col("a").alias("id")).union(left.select("b")).distinct(), scratch)
+    both = left.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     return scratch.table(both.select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"), "verified")
 
 
+def _texts(documents: DataFrame, ids: DataFrame, scratch: workspace.Scratch) -> DataFrame:
+    """(id, text) of some classes, by their smallest doc_id."""
+    wanted = scratch.table(ids, "wanted")
+    texts = documents.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(workspace.small_side(wanted, 16), "id", "left_semi")
+    return scratch.table(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+
+
+def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """rows (cluster, id, root, n, pivot, pn, least, text, pivot_text) with linked (to the pivot), need and added.
+
+    added has the runs that the pivot lacks; need is the fewest of them that a
+    partner shares of which at least one of the two is not linked to the pivot
+    and at least one has the pivot's size.
+    """
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, held = W.Memo(hash_words, MEMO), {}
+        for batch in batches:
+            text = W.texts(batch.column("text"))
+            for at, part in W.slices(text, SLICE):
+                starts, hashes = distinct(*shingles(part, width, memo))
+                linked, need, added = [], [], []
+                own = batch.slice(at, len(part))
+                for i, (pivot, least) in enumerate(zip(own.column("pivot").to_pylist(), own.column("least").to_pylist(), strict=True)):
+                    if pivot not in held:
+                        if len(held) >= 256:
+                            held.clear()
+                        held[pivot] = distinct(*shingles(W.texts(own.column("pivot_text").slice(i, 1)), width, memo))[1]
+                    x, p = hashes[starts[i] : starts[i + 1]], held[pivot]
+                    more = np.setdiff1d(x, p, assume_unique=True)
+                    n, m, both = len(x), len(p), len(x) - len(more)
+                    near = 0 < 100 * both >= percent * (n + m - both)
+                    # a partner of size s >= floor shares at least (|x - p| + |p - x| - m + s - c (n + s)) / 2 added runs, c = (100 - percent) / (100 + percent)
+                    floor = min(m, max(least, -(-percent * n // 100)))
+                    over = (n + m - 2 * both) * (100 + percent) - (100 - percent) * n - (100 + percent) * m + 2 * percent * floor
+                    linked.append(near)
+                    need.append(1 if near else max(1, -(-over // (2 * (100 + percent)))))
+                    added.append(more.view(np.int64))
+                lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in added]))).astype(np.int32), np.concatenate(added))
+                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("cluster", "id", "root", "n", "pivot", "pn")), pa.array(linked), pa.array(need, pa.int64()), lists], names=["cluster", "id", "root", "n", "pivot", "pn", "linked", "need", "added"])
+
+    return rows.select("cluster", "id", "root", "n", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(differ, "cluster long, id long, root long, n long, pivot long, pn long, linked boolean, need long, added array<long>")
+
+
+def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect all that belong together in groups (band, id, root), beyond the components in root.
+
+    Groups with the same largest component are one cluster.  Its pivot is the
+    smallest set of that component.  Of two linked sets that are not both linked
+    to the pivot, with one at least of the pivot's size, the runs that the pivot
+    lacks must overlap: |x - y| + |y - x| is at least |x - p| + |p - x| + |y| - |p|
+    - 2 |shared added runs|.  So they meet on their rarest added runs, as many as
+    the least overlap demands (prefix filter).  What shares a frequent one of
+    these, and sets smaller than the pivot among themselves, are groups of the
+    next turn, which lack the pivot.  A group of up to ``ALL_PAIRS`` members meets
+    pairwise; each turn doubles that number, so turns come to an end.
+    """
+    sizes = classes.select("id", F.col("n_shingles").alias("n"))
+    links = texts = None
+    work, turn = groups, 0
+    while True:
+        by_root = work.groupBy("band", "root").agg(F.count("*").alias("k"))
+        main = by_root.groupBy("band").agg(F.max(F.struct("k", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
+        main = scratch.table(main.select("band", F.col("m.root").alias("cluster")), "main")
+        own = scratch.table(work.join(workspace.small_side(main, 24), "band").select("cluster", "id", "root").distinct().join(sizes, "id"), "clusters")
+        if own.isEmpty():
+            return links if links is not None else own.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        most = ALL_PAIRS << turn
+        few = own.join(own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") <= most).select("cluster"), "cluster", "left_semi")
+        side = lambda c: few.select("cluster", F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"))
+        fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+        direct = side("a").join(side("b"), "cluster").where("a < b and ra != rb").where(fits).select("a", "b")
+        large = own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") > most).select("cluster")
+        own = scratch.table(own.join(large, "cluster", "left_semi"), "large")
+        first = F.when(F.col("root") == F.col("cluster"), F.struct("n", "id"))
+        pivots = scratch.table(own.groupBy("cluster").agg(F.min(first).alias("p"), F.min("n").alias("least")).select("cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"), "least"), "pivots")
+        if texts is None:
+            texts = _texts(documents, own.select("id").distinct(), scratch)  # later turns have no other members
+        of = scratch.table(pivots.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot"), "pivots")
+        total = of.agg(F.coalesce(F.sum(F.octet_length("pivot_text") + 48), F.lit(0)).alias("n")).first().n
+        met = own.join(F.broadcast(of) if total <= workspace.BROADCAST_BYTES else of, "cluster").where("id != pivot").join(texts, "id")
+        apart = scratch.table(_apart(met, width, percent), "apart")
+        runs = apart.select("cluster", "id", "root", "n", "linked", "need", F.explode("added").alias("run"))
+        runs = scratch.table(runs, "runs")
+        often = runs.groupBy("cluster", "run").agg(F.count("*").alias("k"), F.bool_or(~F.col("linked")).alias("far")).where("k > 1 and far")
+        each = Window.partitionBy("cluster", "id")
+        held = runs.join(often.select("cluster", "run", "k"), ["cluster", "run"]).withColumn("nth", F.row_number().over(each.orderBy("k", "run"))).withColumn("shared", F.count("*").over(each))
+        held = scratch.table(held.where("nth <= shared - need + 1").drop("k", "nth", "shared", "need"), "prefixes")
+        lists = held.groupBy("cluster", "run").agg(F.count("*").alias("k"), F.bool_or(~F.col("linked")).alias("far")).where("k > 1 and far")
+        held = scratch.table(held.join(lists.select("cluster", "run", "k"), ["cluster", "run"]), "lists")
+        rare = held.where(F.col("k") <= most)
+        one = lambda c: rare.select("cluster", "run", F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("linked").alias(f"l{c}"))
+        pairs = one("a").join(one("b"), ["cluster", "run"]).where("a < b and ra != rb and not (la and lb)").where(fits).select("a", "b").unionByName(direct).distinct()
+        found = verify(scratch.table(pairs, "pairs")).unionByName(apart.where("linked and root != cluster").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")))
+        links = found if links is None else links.unionByName(found)
+        again = held.where(F.col("k") > most).select(F.xxhash64(F.lit(turn), "cluster", "run").alias("band"), "id", "root")
+        small = apart.where("n < pn").select(F.xxhash64(F.lit(turn), "cluster").alias("band"), "id", "root")
+        work, turn = scratch.table(again.unionByName(small), "work"), turn + 1
+
+
 def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     spark = documents.sparkSession
@@ -239,7 +337,8 @@ def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataF
         verify = lambda found: _verified(found, classes, documents, scratch, width, percent)
         links = verify(scratch.table(pairs, "pairs"))
         if not many.isEmpty():
-            links = components.link_large(many.select("band", "id"), links, verify, scratch)
+            rest = lambda groups: _dense(groups, classes, documents, verify, scratch, width, percent)
+            links = components.link_large(many.select("band", "id"), links, verify, scratch, rounds=1, rest=rest)
         roots = components.components(links, scratch)
         # copies take their class's component; they are in no link
         of_class = class_of.select("print", "id").join(workspace.small_side(roots.withColumnRenamed("node", "id"), 24), "id", "left").select("print", F.coalesce("root", "id").alias("root"))

@@ -96,6 +96,24 @@ def test_near_dedup_with_a_large_group(spark):
     assert all(r.kept == (r.doc_id == r.component_id) and r.n_shingles == len(helpers.shingle_set(texts[r.doc_id], 3)) for r in out)
 
 
+def test_near_dedup_with_a_spread_group(spark):
+    """Copies too far apart to be all linked: with many edits, few of which are shared, and of several lengths."""
+    rng = random.Random(12)
+    base = helpers.prose(rng, 90).split()
+    texts = []
+    for k in range(150):
+        own = list(base)
+        for _ in range(k % 9):
+            at = rng.randrange(len(own))
+            own[at : at + 1] = rng.choice([[f"w{rng.randint(0, 3)}"], [], [own[at], "más"]])
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    out = near_dedup.near_dedup(helpers.documents(spark, rows)).collect()
+    want = helpers.near_components(rows, 3, 85)
+    assert 5 < len(set(want.values())) < 130
+    assert {r.doc_id: r.component_id for r in out} == want
+
+
 def test_near_dedup_odd_rows(spark):
     rows = helpers.odd_rows()
     docs = helpers.documents(spark, rows)
