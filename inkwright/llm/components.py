@@ -74,9 +74,9 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
     the rounds instead: from rows (band, id, root) of the bands with several
     components, links that connect all that belong together.
     """
-    roots = components(links, scratch)
+    roots = components(links, scratch) if rest is None else None  # with rest, the first pivots meet all members, and components are found once less
     for turn in range(rounds + 1):
-        state = many.join(roots, many["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+        state = many.join(roots, many["id"] == roots["node"], "left").select("band", "id", F.coalesce("root", "id").alias("root")) if roots is not None else many.select("band", "id", F.col("id").alias("root"))
         state = scratch.table(state, "state")
         by_root = state.groupBy("band", "root").agg(F.count("*").alias("n"))
         main = by_root.groupBy("band").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
@@ -97,6 +97,7 @@ def link_large(many: DataFrame, links: DataFrame, verify: Callable[[DataFrame],
         meet = every.join(pivots, "band").where("ra != rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = verify(scratch.table(meet, "pairs"))
         if turn < rounds:
-            roots = components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), scratch)
+            known = links if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(found.unionByName(known), scratch)
         links = links.unionByName(found)
     return links

@@ -272,7 +272,7 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
     the least overlap demands (prefix filter).  What shares a frequent one of
     these, and sets smaller than the pivot among themselves, are groups of the
     next turn, which lack the pivot.  A group of up to ``ALL_PAIRS`` members meets
-    pairwise; each turn takes four times that number, so turns come to an end.
+    pairwise; each turn takes eight times that number, so turns come to an end.
     """
     sizes = classes.select("id", F.col("n_shingles").alias("n"))
     links = texts = None
@@ -284,7 +284,7 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
         own = scratch.table(work.join(workspace.small_side(main, 24), "band").select("cluster", "id", "root").distinct().join(sizes, "id"), "clusters")
         if own.isEmpty():
             return links if links is not None else own.select(F.col("id").alias("a"), F.col("root").alias("b"))
-        most = ALL_PAIRS << 2 * turn
+        most = ALL_PAIRS << 3 * turn
         few = own.join(own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") <= most).select("cluster"), "cluster", "left_semi")
         side = lambda c: few.select("cluster", F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"))
         fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
