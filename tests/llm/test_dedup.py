@@ -215,3 +215,45 @@ def test_line_dedup_odd_rows(spark):
     assert len(out) == len(rows)
     assert sorted((r.doc_id for r in out), key=repr) == sorted((r[0] for r in rows), key=repr)
     assert line_dedup.line_dedup(helpers.documents(spark, [])).count() == 0
+
+
+def altered(rng, line, edits):
+    """line after so many edits of one character each, at random places."""
+    own = list(line)
+    for _ in range(edits):
+        at = rng.randrange(len(own))
+        own[at : at + 1] = rng.choice([[rng.choice("abcdefghij")], [], [own[at], rng.choice("abcdefghij")]])
+    return "".join(own)
+
+
+def near_lines(rng, n):
+    """(line, altered line) of 5 to 20 words with an edit similarity of at least 0.9, with as many edits as that allows, or few."""
+    out = []
+    while len(out) < n:
+        line = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(5, 20)))
+        other = altered(rng, line, rng.choice([1, 2, len(line) // 10]))
+        if len(other.split()) >= 4 and line != other and distance(line, other) <= line_dedup.edits(max(len(line), len(other)), 0.9):
+            out.append((line, other))
+    return out
+
+
+def test_line_keys_of_near_lines():
+    """Short lines always share a key; all near lines of 5 to 20 words, but for few, share one."""
+    rng = random.Random(21)
+    pairs = near_lines(rng, 600)
+    short = [p for p in pairs if max(map(len, p)) < line_dedup.SHORT]
+    assert len(short) > 100
+    assert all(line_dedup.short_keys(a, 0.9) & line_dedup.short_keys(b, 0.9) for a, b in short)
+    long = [p for p in pairs if max(map(len, p)) >= line_dedup.SHORT]
+    keys = line_dedup.LongKeys(0.9)
+    a, b = keys.of([p[0] for p in long]), keys.of([p[1] for p in long])
+    assert (a == b).any(1).mean() > 0.95
+
+
+def test_line_dedup_by_edit_similarity_alone(spark):
+    """Against edit similarity alone: one line each of 200 near pairs goes."""
+    pairs = near_lines(random.Random(22), 200)
+    rows = [(i, x) for i, x in enumerate(x for p in pairs for x in p)]
+    out = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup(helpers.documents(spark, rows)).collect()}
+    assert not any(out[2 * i] for i in range(len(pairs)))
+    assert sum(out[2 * i + 1] for i in range(len(pairs))) > 0.95 * len(pairs)
