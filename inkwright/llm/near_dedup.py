@@ -225,11 +225,12 @@ def _texts(documents: DataFrame, ids: DataFrame, scratch: workspace.Scratch) ->
 
 
 def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """rows (cluster, id, root, n, pivot, pn, least, text, pivot_text) with linked (to the pivot), need and added.
+    """rows (cluster, id, root, n, pivot, pn, least, text, pivot_text) with linked (to the pivot), bare, need and added.
 
     added has the runs that the pivot lacks; need is the fewest of them that a
-    partner shares of which at least one of the two is not linked to the pivot
-    and at least one has the pivot's size.
+    partner shares, where at least one of the two is not linked to the pivot, but
+    1 at least.  A set is bare if it is not linked to the pivot and may be linked
+    to one smaller than the pivot without sharing any.
     """
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +239,7 @@ def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
             text = W.texts(batch.column("text"))
             for at, part in W.slices(text, SLICE):
                 starts, hashes = distinct(*shingles(part, width, memo))
-                linked, need, added = [], [], []
+                linked, bare, need, added = [], [], [], []
                 own = batch.slice(at, len(part))
                 for i, (pivot, least) in enumerate(zip(own.column("pivot").to_pylist(), own.column("least").to_pylist(), strict=True)):
                     if pivot not in held:
@@ -253,25 +254,27 @@ def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     floor = min(m, max(least, -(-percent * n // 100)))
                     over = (n + m - 2 * both) * (100 + percent) - (100 - percent) * n - (100 + percent) * m + 2 * percent * floor
                     linked.append(near)
+                    bare.append(not near and over <= 0)
                     need.append(1 if near else max(1, -(-over // (2 * (100 + percent)))))
                     added.append(more.view(np.int64))
                 lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in added]))).astype(np.int32), np.concatenate(added))
-                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("cluster", "id", "root", "n", "pivot", "pn")), pa.array(linked), pa.array(need, pa.int64()), lists], names=["cluster", "id", "root", "n", "pivot", "pn", "linked", "need", "added"])
+                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("cluster", "id", "root", "n", "pivot", "pn")), pa.array(linked), pa.array(bare), pa.array(need, pa.int64()), lists], names=["cluster", "id", "root", "n", "pivot", "pn", "linked", "bare", "need", "added"])
 
-    return rows.select("cluster", "id", "root", "n", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(differ, "cluster long, id long, root long, n long, pivot long, pn long, linked boolean, need long, added array<long>")
+    return rows.select("cluster", "id", "root", "n", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(differ, "cluster long, id long, root long, n long, pivot long, pn long, linked boolean, bare boolean, need long, added array<long>")
 
 
 def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all that belong together in groups (band, id, root), beyond the components in root.
 
     Groups with the same largest component are one cluster.  Its pivot is the
-    smallest set of that component.  Of two linked sets that are not both linked
-    to the pivot, with one at least of the pivot's size, the runs that the pivot
-    lacks must overlap: |x - y| + |y - x| is at least |x - p| + |p - x| + |y| - |p|
-    - 2 |shared added runs|.  So they meet on their rarest added runs, as many as
-    the least overlap demands (prefix filter).  What shares a frequent one of
-    these, and sets smaller than the pivot among themselves, are groups of the
-    next turn, which lack the pivot.  A group of up to ``ALL_PAIRS`` members meets
+    smallest set of that component.  Of two linked sets x, y of which x is not
+    linked to the pivot, the runs that the pivot lacks overlap if y has the pivot's
+    size at least, or x is not bare: |x - y| + |y - x| is at least |x - p| + |p - x|
+    + |y| - |p| - 2 |shared added runs|.  So they meet on their rarest added runs,
+    as many as the least overlap demands (prefix filter).  Else y is smaller than
+    the pivot and x is bare.  What shares a frequent one of the rarest runs, and
+    the sets that are smaller than the pivot or bare, are groups of the next turn,
+    which lack the pivot.  A group of up to ``ALL_PAIRS`` members meets
     pairwise; each turn takes eight times that number, so turns come to an end.
     """
     sizes = classes.select("id", F.col("n_shingles").alias("n"))
@@ -313,7 +316,7 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
         found = verify(scratch.table(pairs, "pairs")).unionByName(apart.where("linked and root != cluster").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")))
         links = found if links is None else links.unionByName(found)
         again = held.where(F.col("k") > most).select(F.xxhash64(F.lit(turn), "cluster", "run").alias("band"), "id", "root")
-        small = apart.where("n < pn").select(F.xxhash64(F.lit(turn), "cluster").alias("band"), "id", "root")
+        small = apart.where("n < pn or bare").select(F.xxhash64(F.lit(turn), "cluster").alias("band"), "id", "root")
         work, turn = scratch.table(again.unionByName(small), "work"), turn + 1
 
 

@@ -257,3 +257,24 @@ def test_line_dedup_by_edit_similarity_alone(spark):
     out = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup(helpers.documents(spark, rows)).collect()}
     assert not any(out[2 * i] for i in range(len(pairs)))
     assert sum(out[2 * i + 1] for i in range(len(pairs))) > 0.95 * len(pairs)
+
+
+def test_near_dedup_links_beyond_the_pivot(spark):
+    """In crowded bands, sets linked to the pivot and smaller than it, each with a partner that isn't linked to the pivot and shares no added run."""
+    rng = random.Random(31)
+    base = [f"b{k}" for k in range(100)]
+    sets = [base] + [[*base, f"own{k}"] for k in range(260)]
+    for k in range(30):
+        x = rng.sample(base, 85)
+        sets += [x, [*x, *(f"y{k}x{j}" for j in range(15))]]
+    rows = list(enumerate(" ".join(s) for s in sets))
+    want = helpers.near_components(rows, 1, 85)
+    assert set(want.values()) == {0}
+    docs = helpers.documents(spark, rows)
+    start = [(1, i, 0 if i <= 260 else i) for i, _ in rows]  # one band of all; base and its supersets are a component
+    with workspace.Scratch(spark) as scratch:
+        classes = scratch.table(near_dedup._sets(docs, 1).select(near_dedup.F.col("doc_id").alias("id"), "n_shingles", "signature"))
+        verify = lambda found: near_dedup._verified(found, classes, docs, scratch, 1, 85)
+        links = near_dedup._dense(spark.createDataFrame(start, "band long, id long, root long"), classes, docs, verify, scratch, 1, 85)
+        links = links.unionByName(spark.createDataFrame([(i, 0) for i in range(1, 261)], "a long, b long"))
+        assert dict(components.components(links, scratch).collect()) == want
