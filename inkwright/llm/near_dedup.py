@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from math import lgamma
+from math import ceil, gcd, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +35,12 @@ from pyspark.sql import functions as F
 
 from inkwright.llm import components, workspace, words as W
 
+#: Sets at the threshold share no band with this probability at most.
+BAND_MISS = 1e-4
+#: Bands of similarity 0.85 (``bands_for``).
 BANDS, ROWS = 21, 6
 HASHES = BANDS * ROWS
-BATCH = 21  # hashes compared at a time; divides HASHES
+BATCH = 21  # hashes compared at a time; divides the number of hashes
 MISS = 1e-6
 #: Numbers for each shingle take several times a text's bytes, so slices are small.
 SLICE = 2 << 20
@@ -45,12 +48,17 @@ MEMO = 150_000
 ALL_PAIRS = 24
 
 
+def bands_for(threshold: float, miss: float = BAND_MISS) -> int:
+    """The fewest bands of ROWS in which sets of this similarity share none with probability miss at most, in whole batches of hashes."""
+    least, step = ceil(log(miss) / log1p(-(threshold**ROWS))), BATCH // gcd(BATCH, ROWS)
+    return -(-least // step) * step
+
+
 def _multipliers(n: int) -> np.ndarray:
     raw = b"".join(hashlib.blake2b(b"minhash%d" % k, digest_size=8).digest() for k in range(n))
     return np.frombuffer(raw, "<u8") | np.uint64(1)
 
 
-MULTIPLIERS = _multipliers(HASHES)
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -95,27 +103,27 @@ def distinct(starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(([0], np.cumsum(np.bincount(d[new], minlength=len(starts) - 1)))), h[new]
 
 
-def signatures(starts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """MinHash of each non-empty set: an array (sets, HASHES) of 32-bit numbers."""
+def signatures(starts: np.ndarray, hashes: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """MinHash of each non-empty set: an array (sets, multipliers) of 32-bit numbers."""
     sizes = np.diff(starts)
     full = np.flatnonzero(sizes)
-    out = np.zeros((len(sizes), HASHES), np.uint32)
+    out = np.zeros((len(sizes), len(multipliers)), np.uint32)
     first, end = starts[:-1][full], starts[1:][full]
     lo = 0
     while lo < len(full):  # blocks that stay in the cache
         hi = max(lo + 1, int(np.searchsorted(end, first[lo] + (1 << 16), side="right")))
         block, cut = hashes[first[lo] : end[hi - 1]], first[lo:hi] - first[lo]
-        for k in range(HASHES):
-            out[full[lo:hi], k] = np.minimum.reduceat(block * MULTIPLIERS[k], cut) >> np.uint64(32)
+        for k, m in enumerate(multipliers):
+            out[full[lo:hi], k] = np.minimum.reduceat(block * m, cut) >> np.uint64(32)
         lo = hi
     return out
 
 
-def least_matches(threshold: float, miss: float = MISS) -> list[int]:
+def least_matches(threshold: float, miss: float = MISS, hashes: int = HASHES) -> list[int]:
     """For each number of compared hashes BATCH, 2 * BATCH, ...: the fewest matches with P(similarity >= threshold | matches) >= miss."""
     x = (np.arange(20_000) + 0.5) / 20_000
     need = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(BATCH, hashes + 1, BATCH):
         for m in range(n + 1):
             log = m * np.log(x) + (n - m) * np.log1p(-x) + lgamma(n + 2) - lgamma(m + 1) - lgamma(n - m + 1)
             p = np.exp(log)
@@ -138,8 +146,9 @@ def plausible(a: np.ndarray, b: np.ndarray, need: list[int]) -> np.ndarray:
     return out
 
 
-def _sets(documents: DataFrame, width: int) -> DataFrame:
+def _sets(documents: DataFrame, width: int, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, print (16 bytes of the set), signature."""
+    multipliers = _multipliers(bands * ROWS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = W.Memo(hash_words, MEMO)
@@ -150,7 +159,7 @@ def _sets(documents: DataFrame, width: int) -> DataFrame:
                 n = np.diff(starts)
                 raw = memoryview(hashes).cast("B") if len(hashes) else b""
                 prints = [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-                sig = signatures(starts, hashes)
+                sig = signatures(starts, hashes, multipliers)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, len(part)).cast(pa.int64()), pa.array(n), pa.array(prints, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc_id", "n_shingles", "print", "signature"]
                 )
@@ -158,22 +167,22 @@ def _sets(documents: DataFrame, width: int) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(read, "doc_id long, n_shingles long, print binary, signature binary")
 
 
-def _bands(classes: DataFrame) -> DataFrame:
+def _bands(classes: DataFrame, bands: int) -> DataFrame:
     """Rows (band, id): one for each band of each class."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), "<u4").reshape(-1, HASHES)
-            out = np.full((len(sig), BANDS), 0, np.uint64)
-            for k in range(BANDS):
+            sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), "<u4").reshape(-1, bands * ROWS)
+            out = np.full((len(sig), bands), 0, np.uint64)
+            for k in range(bands):
                 h = np.full(len(sig), np.uint64(k + 1))
                 for r in range(ROWS):
                     h = (h ^ sig[:, k * ROWS + r].astype(np.uint64)) * MIX[r % len(MIX)]
                     h ^= h >> np.uint64(29)
                 out[:, k] = _finish(h)
-            ids = np.repeat(b.column("id").to_numpy(), BANDS)
+            ids = np.repeat(b.column("id").to_numpy(), bands)
             yield pa.RecordBatch.from_arrays([pa.array(out.ravel().view(np.int64)), pa.array(ids)], names=["band", "id"])
 
     return classes.select("id", "signature").mapInArrow(cut, "band long, id long")
@@ -181,12 +190,13 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
     """Those of pairs (a, b) whose similarity is at least percent in a hundred."""
-    need = least_matches(percent / 100)
+    hashes = bands_for(percent / 100) * ROWS
+    need = least_matches(percent / 100, hashes=hashes)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, HASHES) for c in ("sa", "sb"))
+                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, hashes) for c in ("sa", "sb"))
                 n, m = (b.column(c).to_numpy() for c in ("na", "nb"))
                 fits = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & plausible(x, y, need)
                 yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(fits)), b.column("b").filter(pa.array(fits))], names=["a", "b"])
@@ -324,7 +334,8 @@ def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataF
     """One row per document: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     spark = documents.sparkSession
     with workspace.Scratch(spark) as scratch:
-        sets = scratch.table(_sets(documents, width), "sets")
+        n_bands = bands_for(percent / 100)
+        sets = scratch.table(_sets(documents, width, n_bands), "sets")
         known = sets.where("doc_id is not null")
         class_of = scratch.table(
             known.where("n_shingles > 0").groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("r"), F.count("*").alias("rows")).select("print", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n_shingles"), F.col("r.signature").alias("signature")),
@@ -332,7 +343,7 @@ def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataF
         )
         classes = class_of.groupBy("id").agg(F.min_by(F.struct("n_shingles", "signature"), F.col("print")).alias("r")).select("id", "r.*")
         classes = scratch.table(classes, "nodes")
-        bands = _bands(classes)
+        bands = _bands(classes, n_bands)
         shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
         members = scratch.table(bands.join(shared, "band").select("band", "id", "n"), "bands")
         few, many = members.where(F.col("n") <= ALL_PAIRS), members.where(F.col("n") > ALL_PAIRS)

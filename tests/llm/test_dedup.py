@@ -278,3 +278,19 @@ def test_near_dedup_links_beyond_the_pivot(spark):
         links = near_dedup._dense(spark.createDataFrame(start, "band long, id long, root long"), classes, docs, verify, scratch, 1, 85)
         links = links.unionByName(spark.createDataFrame([(i, 0) for i in range(1, 261)], "a long, b long"))
         assert dict(components.components(links, scratch).collect()) == want
+
+
+def test_bands_follow_the_threshold():
+    """Pairs at the threshold of op9 and of the pipeline share no band with probability BAND_MISS at most."""
+    assert near_dedup.bands_for(0.85) == near_dedup.BANDS
+    for threshold in (0.85, 0.8):
+        bands = near_dedup.bands_for(threshold)
+        assert bands * near_dedup.ROWS % near_dedup.BATCH == 0
+        assert (1 - threshold**near_dedup.ROWS) ** bands <= near_dedup.BAND_MISS
+
+
+def test_near_dedup_at_the_threshold_of_the_pipeline(spark):
+    rng = random.Random(41)
+    rows = list(enumerate(t for _ in range(30) for t in copies(rng, 2, 1, 45)))
+    out = near_dedup.near_dedup(helpers.documents(spark, rows), width=5, percent=80).collect()
+    assert {r.doc_id: r.component_id for r in out} == helpers.near_components(rows, 5, 80)
