@@ -6,8 +6,9 @@ two that it holds, one beginning at each run.  Documents are cut into windows of
 the same lengths that begin every eighth of a window (every run, for short
 ones), so an unbroken copy of a template has windows equal to the template's
 own.  Windows whose MinHash signatures agree in a band retrieve the template.
-Bands are as many as make a window of similarity ``similarity`` collide with
-probability 1 - ``miss`` (``bands_for``).  Around each retrieved window the share
+Bands are as many as make a window of similarity ``similarity``, or of the lesser
+one that ``containment`` implies (``window_similarity``), collide with probability
+1 - ``miss`` (``bands_for``).  Texts with fewer runs than a window are looked at whole.  Around each retrieved window the share
 of the template's distinct runs that the document holds is then counted exactly;
 from ``containment`` on it is a match.
 
@@ -61,6 +62,12 @@ def collision(similarity: float, bands: int, rows: int) -> float:
     return 1 - (1 - similarity**rows) ** bands
 
 
+def window_similarity(containment: float) -> float:
+    """What a document's window has at least, on average over a copy with this share of a template's runs, the others replaced, half a step beside the template's window."""
+    shared = containment - 1 / 16
+    return shared / (2 - shared)
+
+
 def _finish(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
@@ -162,6 +169,11 @@ def _look(index: Index, starts: np.ndarray, hashes: np.ndarray, containment: flo
                 for key in sig[w]:
                     for t in own[np.searchsorted(keys, key, "left") : np.searchsorted(keys, key, "right")].tolist():
                         found.add((t, int(part[w]), size))
+    # texts with fewer runs than the window are looked at whole
+    n = np.diff(starts)
+    for t, size in enumerate(index.size.tolist()):
+        for doc in np.flatnonzero((n < size) & (n >= containment * len(index.sets[t]))).tolist():
+            found.add((t, int(starts[doc]), int(n[doc])))
     out: dict[tuple[int, int], list[tuple[int, int, int, int, float]]] = {}
     for t, at, size in sorted(found):
         length = int(index.length[t])
@@ -192,7 +204,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
     listed = templates or TEMPLATES
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(listed, similarity, miss)
+        index = Index(listed, min(similarity, window_similarity(containment)), miss)
         memo = W.Memo(_hash, 150_000)
         for batch in batches:
             text = W.texts(batch.column("text"))

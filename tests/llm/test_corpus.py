@@ -185,3 +185,18 @@ def test_pipeline(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert {r.doc_id for r in out.select("doc_id").collect()} == counts[3]
+
+
+def test_license_in_a_text_shorter_than_the_window(spark):
+    """Alone in its slice or not, a text with 60 of a template's 70 runs is a match."""
+    words = [f"w{k}" for k in range(74)]
+    short = " ".join(words[:64])
+    for texts in ([short], [short, "a b c " * 100]):
+        out = license_scan.license_scan(helpers.documents(spark, list(enumerate(texts))), {"T": " ".join(words)}).collect()
+        assert [(r.doc_id, r.first_word, r.n_words, round(r.containment, 3)) for r in out] == [(0, 0, 64, 0.857)]
+
+
+def test_license_bands_follow_containment():
+    s = license_scan.window_similarity(0.8)
+    assert 0.58 < s < 0.6
+    assert license_scan.collision(s, license_scan.bands_for(s, license_scan.ROWS, 1e-4), license_scan.ROWS) >= 1 - 1e-4
