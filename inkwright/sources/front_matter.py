@@ -27,8 +27,9 @@ def header(c: Column) -> Column:
     value = lambda x: text.strip(F.regexp_extract(x, LINE, 2))
     plain = lambda v: F.when(v.rlike('^".*"$') & (F.length(v) > 1), v.substr(F.lit(2), F.length(v) - 2)).otherwise(v)
     pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, LINE, 1).alias("k"), plain(value(x)).alias("v")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+    last = lambda ps: F.filter(ps, lambda p, i: ~F.exists(F.slice(ps, i + 2, F.size(ps)), lambda q: q["k"] == p["k"]))
+    # as a lambda's variable, the pairs are made once
+    return F.get(F.transform(F.array(pairs), lambda ps: F.map_from_entries(last(ps))), F.lit(0))
 
 
 def header_list(value: Column) -> Column:
@@ -78,6 +79,36 @@ def cover(c: Column) -> Column:
     return F.struct(of("title_es").alias("title"), of("author").alias("author"), of("issue_date").alias("date"), F.regexp_extract(c, r"!\[[^\]]*\]\((/img/[^)]+)\)", 1).alias("image"))
 
 
+def source_files(pages: DataFrame, files: DataFrame) -> DataFrame:
+    """Issue pages (path, text) with their source file (files: path): issue, file, skipped.
+
+    The page's header names the file; ``skipped`` tells why there is nothing to
+    read: no name, no such file, or an incomplete issue.  An issue is replayed
+    only if it is null.
+    """
+    name = F.element_at(header(F.col("text")), "source_file")
+    named = pages.select(F.col("path").alias("issue"), F.nullif(name, F.lit("")).alias("name"), (F.element_at(header(F.col("text")), "incompleta") == "true").alias("partial"))
+    known = files.select(F.col("path").alias("file"), text.basename(F.col("path")).alias("name"), file_meta(F.col("path"))["incomplete"].alias("cut"))
+    met = named.join(known, "name", "left")
+    why = F.when(F.col("name").isNull(), "no-source").when(F.col("file").isNull(), "missing").when(F.coalesce("partial", F.lit(False)) | F.col("cut"), "incomplete")
+    return met.select("issue", "file", why.alias("skipped"))
+
+
+def with_overrides(issues: DataFrame, overrides: DataFrame) -> DataFrame:
+    """issues (series, volume, header_date, cover_date) with issue_date: by hand (overrides: series, volume, issue_date) before the header's before the cover's."""
+    from inkwright.functions import dates
+
+    told = overrides.select("series", "volume", F.col("issue_date").alias("_told"))
+    met = issues.join(told, ["series", "volume"], "left")
+    return met.withColumn("issue_date", dates.issue_date(F.col("_told"), F.col("header_date"), F.col("cover_date"))).drop("_told")
+
+
+def located_files(files: DataFrame, entries: DataFrame) -> DataFrame:
+    """files (issue_id, path, ...) with the place (loc) of the entry (issue_id, ord, loc) that their number names; null without one."""
+    number = F.regexp_extract(text.basename(F.col("path")), r"^(\d+)-", 1).try_cast("int")
+    return files.withColumn("ord", number).join(entries.select("issue_id", "ord", "loc"), ["issue_id", "ord"], "left")
+
+
 def queue_ids(source: DataFrame, column: str = "text") -> DataFrame:
     """queue_pos, id of every id literal in program text, also of those in comments."""
     return source.select(F.posexplode(F.regexp_extract_all(column, F.lit(r"id:\s*'([^']+)'"), F.lit(1))).alias("queue_pos", "id"))

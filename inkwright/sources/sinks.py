@@ -30,6 +30,20 @@ def article_markdown(a: dict[str, Column]) -> Column:
     return F.concat(head, F.lit("\n"), body, tail, F.lit("\n"))
 
 
+def with_figures(articles: DataFrame, placed: DataFrame, root: str = "/img/") -> DataFrame:
+    """articles (article_id, text: whole files) with their captions replaced by images and the header's count set, as column edited.
+
+    ``placed`` has article_id, cap_pos, caption, file; a null file leaves its caption
+    as it is.  The input is never overwritten: running it again on ``edited`` finds
+    no captions and changes nothing.
+    """
+    item = F.struct("cap_pos", "caption", F.concat(F.lit(root), text.with_extension(F.col("file"), "webp")).alias("path"))
+    own = placed.where("file is not null").groupBy("article_id").agg(F.array_sort(F.collect_list(item)).alias("_placed"))
+    met = articles.join(own, "article_id", "left")
+    body = F.aggregate(F.coalesce("_placed", F.array().cast("array<struct<cap_pos:int,caption:string,path:string>>")), text.drop_image_comments(F.col("text")), lambda t, p: text.place_image(t, p["caption"], p["path"]))
+    return met.withColumn("edited", text.set_image_count(body, F.coalesce(F.size("_placed"), F.lit(0)))).drop("_placed")
+
+
 def contents_table(entries: DataFrame) -> DataFrame:
     """issue_id, contents: the rows of an issue's table of contents, from issue_id, ord, title, page.
 
