@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from inkwright.functions import dates, html, text
 from inkwright.operators import matching, publish, quality, sequence
-from inkwright.sources import front_matter, sinks
+from inkwright.sources import docx, front_matter, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,27 @@ def values(rows: list[tuple], alias: str) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows) + f") {alias}"
 
 
+#: Digits of a number as letters that form no word, roman numeral or connector.
+LETTERS = "BFGHJKNPRS"
+#: Orders in issues of eight: issue i, place k, number c, and a word w that no other of the issue has.
+BASE_SQL = f"b AS (SELECT o_orderkey // 8 AS i, CAST(o_orderkey % 8 AS INT) AS k, o_custkey AS c, translate(CAST(o_custkey * 10 + o_orderkey % 8 AS VARCHAR), '0123456789', '{LETTERS}') AS w FROM orders)"
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word = F.translate((F.col("o_custkey") * 10 + F.col("o_orderkey") % 8).cast("string"), "0123456789", LETTERS)
+    return table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 8").alias("i"), (F.col("o_orderkey") % 8).cast("int").alias("k"), F.col("o_custkey").alias("c"), word.alias("w"))
+
+
+def _filled(templates: list[str]) -> Column:
+    """The template of each row's place, with its word for @ and the word in lower case for ^."""
+    own = F.element_at(F.array(*map(F.lit, templates)), F.col("k") % len(templates) + 1)
+    return F.replace(F.replace(own, F.lit("@"), F.col("w")), F.lit("^"), F.lower("w"))
+
+
+def _filled_sql(templates: list[str]) -> str:
+    return f"replace(replace(replace({_literal([t.replace(chr(10), '~') for t in templates])}[k % {len(templates)} + 1], '@', w), '^', lower(w)), '~', chr(10))"
+
+
 LINES = [
     ("P Á G I N A  1",), ("A R T Í C U L O",), ("el  camino\tde   hierro",), ("Ñandú — ÜBER straße 12",), ("…",), ("x a b c y",), ("a b",), ("1 2 3 4",), ("",), ("DIRECTORIO ........ 2",), ("Los sellos …… 14.",),
     ("BUZÓN DE NOVEDADES",), ("Credo del filatelista",), ("EDITORIAL: un año más",), ("El Sobresaliente de Hoy",), ("Nuevas emisiones",), ("Un sello con historia",), ("Directorio",),
@@ -74,22 +95,22 @@ def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     pin = F.when(F.substring("o_orderpriority", 1, 1) <= "2", F.substring("o_orderpriority", 1, 1).cast("int"))
     return orders.select(
-        F.col("o_orderkey").alias("queue_pos"), F.concat(F.col("o_custkey").cast("string"), F.lit(".md")).alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_date"), (F.col("o_orderstatus") == "F").alias("locked"),
+        F.col("o_orderkey").alias("queue_pos"), F.concat((F.col("o_custkey") + F.when(F.col("o_orderkey") % 3 == 0, 1 << 40).otherwise(0)).cast("string"), F.lit(".md")).alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_date"), (F.col("o_orderstatus") == "F").alias("locked"),
         F.when(F.col("o_totalprice") > 200000, "").when(F.col("o_totalprice") > 100000, "big").alias("teaser"), F.lit(None).cast("string").alias("type"), F.lit(None).cast("string").alias("cover_align"), pin.alias("featured"),
     )
 
 
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # every third customer has no article, so lookups miss
-    return table(spark, sf_dir, "customer").where("c_custkey % 3 != 0").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("summary_es"))
+    # orders of a source that is not yet in the archive name customers beyond the table, so lookups miss
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("summary_es"))
 
 
 FEED_SQL = f"""
-WITH q AS (SELECT o_orderkey AS queue_pos, CAST(o_custkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS publish_date, o_orderstatus = 'F' AS locked,
+WITH q AS (SELECT o_orderkey AS queue_pos, CAST(o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1099511627776 ELSE 0 END AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS publish_date, o_orderstatus = 'F' AS locked,
     CASE WHEN o_totalprice > 200000 THEN '' WHEN o_totalprice > 100000 THEN 'big' END AS teaser,
     CASE WHEN o_orderpriority[1] <= '2' THEN CAST(o_orderpriority[1] AS INT) END AS featured FROM orders),
 p AS (SELECT * FROM q WHERE publish_date <= '{AS_OF}'),
-a AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS title, c_mktsegment AS summary_es FROM customer WHERE c_custkey % 3 <> 0)
+a AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS title, c_mktsegment AS summary_es FROM customer)
 """
 FEED_COLUMNS = ["id", "queue_pos", "publish_date", "featured", "title", "summary", "type", "cover_align"]
 FEED_SELECT = "SELECT id, queue_pos, publish_date, featured, title, coalesce(teaser, summary_es) AS summary, 'articulo' AS type, 'center' AS cover_align"
@@ -183,16 +204,14 @@ _COLLAPSE = (
     + " AND ".join([_is("- 3", True), f"(i < 5 OR {_is('- 4', False)})", "c[i - 2] = ' '", _is("- 1", True), _is("+ 1", True), _is("+ 2", False)])
     + "))"
 )
-SINGLE = r"[\p{L}\p{Nd}_] [\p{L}\p{Nd}_] [\p{L}\p{Nd}_]"
 
 
 @query(f"""
 SELECT line, regexp_replace(regexp_replace(array_to_string(list_filter(c, lambda x, i: NOT ({_COLLAPSE})), ''), '[ \\t]{{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS collapsed
-FROM (SELECT DISTINCT line, string_split(line, '') AS c FROM {SQL_LINES} WHERE regexp_matches(line, '{SINGLE}'))
+FROM (SELECT DISTINCT line, string_split(line, '') AS c FROM {SQL_LINES})
 """)
 def q11_collapse_spacing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of all lines, those that three single letters in a row may occur in."""
-    return _lines(spark, sf_dir).where(F.col("line").rlike(SINGLE)).distinct().select("line", text.collapse_spacing(F.col("line")).alias("collapsed"))
+    return _lines(spark, sf_dir).distinct().select("line", text.collapse_spacing(F.col("line")).alias("collapsed"))
 
 
 TITLES = [("Ñandú — ÜBER straße 12",), ("El camino de hierro: la historia del ferrocarril que nunca llegó hasta la capital",), ("---",), ("",), ("Año 1902",)]
@@ -252,11 +271,10 @@ def q17_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 SELECT line, regexp_replace(trim(rtrim(trim(regexp_replace(regexp_replace(line, '[.…]{{2,}}', ' ', 'g'), '\\s{{2,}}', ' ', 'g')), '.')), '^\\s+|\\s+$', '', 'g') AS clean, upper(replace(regexp_replace(strip_accents(line), '\\s', '', 'g'), 'ß', 'ss')) AS solid
-FROM (SELECT DISTINCT line FROM {SQL_LINES}) WHERE NOT regexp_matches(line, '{SINGLE}')
+FROM (SELECT DISTINCT line FROM {SQL_LINES})
 """)
 def q18_strip_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines without spaced letters, whose treatment is q11's."""
-    lines = _lines(spark, sf_dir).distinct().where(~F.col("line").rlike(SINGLE))
+    lines = _lines(spark, sf_dir).distinct()
     return lines.select("line", text.strip_leaders(F.col("line")).alias("clean"), text.no_space(F.col("line")).alias("solid"))
 
 
@@ -273,32 +291,40 @@ def q19_canonical_author(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.groupBy("name", text.canonical_name(F.col("name"), NAME_RULES).alias("author")).agg(F.count("*").alias("n"))
 
 
-SENTENCES = [("LA GUERRA DE CARLOS V EN HONDURAS", "La guerra de carlos v en Honduras"), ("ISLAS DE LA BAHÍA — TOMO XIV.", "Islas de la bahía — tomo XIV"), ("CORREO CIVIL-MILITAR", "Correo CIVIL-militar"), ("EL SOBRESALIENTE DE HOY", "El Sobresaliente de Hoy"), ("", "")]
+SENTENCES = [("LA GUERRA DE @ V EN HONDURAS", "La guerra de ^ v en Honduras"), ("ISLAS DE @ — TOMO XIV.", "Islas de ^ — tomo XIV"), ("CORREO CIVIL-@", "Correo CIVIL-^"), ("EL SOBRESALIENTE DE HOY", "El Sobresaliente de Hoy"), ("¿QUÉ ES «@»?", "¿qué es «^»?"), ("", "")]
 
 
-@query(f"SELECT * FROM {values(SENTENCES, 'v(title, cased)')}")
+@query(f"WITH {BASE_SQL} SELECT {_filled_sql([t for t, _ in SENTENCES])} AS title, {_filled_sql([t for _, t in SENTENCES])} AS cased, count(*) AS n FROM b GROUP BY ALL")
 def q20_sentence_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = spark.createDataFrame([(t,) for t, _ in SENTENCES], "title string")
-    return titles.select("title", text.sentence_case(F.col("title"), F.array(F.lit("honduras")), {"elsobresalientedehoy": "El Sobresaliente de Hoy"}).alias("cased"))
+    titles = _base(spark, sf_dir).select(_filled([t for t, _ in SENTENCES]).alias("title"))
+    return titles.groupBy("title", text.sentence_case(F.col("title"), F.array(F.lit("honduras")), {"elsobresalientedehoy": "El Sobresaliente de Hoy"}).alias("cased")).agg(F.count("*").alias("n"))
 
 
-FEATURED = [("LA LOCOMOTORA UN SELLO CON HISTORIA BUZÓN DE NOVEDADES", "LA LOCOMOTORA", "UN SELLO CON HISTORIA|BUZÓN DE NOVEDADES"), ("Buzón de novedades", "Buzón de novedades", ""), ("Un barco, Credo del Filatelista.", "Un barco,", "Credo del Filatelista."), ("nada", "nada", "")]
+FEATURED = [("LA LOCOMOTORA @ UN SELLO CON HISTORIA BUZÓN DE NOVEDADES", "LA LOCOMOTORA @", "UN SELLO CON HISTORIA|BUZÓN DE NOVEDADES"), ("Buzón de novedades", "Buzón de novedades", ""), ("Un barco ^, Credo del Filatelista.", "Un barco ^,", "Credo del Filatelista."), ("nada ^", "nada ^", ""), ("Credo del filatelista @", "Credo del filatelista @", "")]
 
 
-@query(f"SELECT * FROM {values(FEATURED, 'v(title, prefix, features)')}")
+@query(f"WITH {BASE_SQL} SELECT {', '.join(f'{_filled_sql([f[j] for f in FEATURED])} AS {name}' for j, name in enumerate(('title', 'prefix', 'features')))}, count(*) AS n FROM b GROUP BY ALL")
 def q21_split_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = spark.createDataFrame([(t,) for t, _, _ in FEATURED], "title string")
+    titles = _base(spark, sf_dir).select(_filled([f[0] for f in FEATURED]).alias("title"))
     parts = text.split_features(F.col("title"), sequence.FEATURES)
-    return titles.select("title", parts["prefix"].alias("prefix"), F.array_join(parts["features"], "|").alias("features"))
+    return titles.groupBy("title", parts["prefix"].alias("prefix"), F.array_join(parts["features"], "|").alias("features")).agg(F.count("*").alias("n"))
 
 
-BYLINES = [(1, ["Intro", "Por: Ana Ruiz.", "por otro"], "Ana Ruiz", False, 2), (2, ["a", "b", "c", "d", "e", "f", "por Nadie"], "Casa", True, None), (3, [], "Casa", True, None), (4, ["Texto de - José Pratz"], "José Pratz G.", False, 1)]
+BYLINE = "(?i)^\\s*(?:por|texto de|escrito por)\\s*[:\\-]?\\s*(.+)$"
+BYLINES = ["Intro @", "texto de - José Pratz", "c", "escrito por @ y otros que juntos hicieron este número tan largo, de muchas páginas", "Por: Edgar @.", "f", "por @.", "h"]
 
 
-@query(f"SELECT id, author, unconfirmed, position FROM {values([(a, c, d, e) for a, _, c, d, e in BYLINES], 'v(id, author, unconfirmed, position)')}")
+@query(f"""
+WITH {BASE_SQL}, p AS (SELECT i, list({_filled_sql(BYLINES)} ORDER BY k) AS ps FROM (SELECT i, (k + i) % 8 AS k, w FROM b) GROUP BY i),
+f AS (SELECT *, list_filter(generate_series(1, least(6, len(ps))), lambda j: regexp_matches(ps[j], '{BYLINE}') AND length(regexp_extract(ps[j], '{BYLINE}', 1)) < 60)[1] AS spot FROM p),
+n AS (SELECT *, regexp_extract(ps[spot], '{BYLINE}', 1) AS name FROM f)
+SELECT i AS id, CASE WHEN spot IS NULL THEN 'Casa' WHEN contains(lower(name), 'edgar') THEN 'Edgar Alba' WHEN contains(strip_accents(lower(name)), 'jose') AND contains(lower(name), 'pratz') THEN 'José Pratz G.' ELSE rtrim(name, '.') END AS author, spot IS NULL AS unconfirmed, CAST(spot AS INT) AS position FROM n
+""")
 def q22_byline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(a, b) for a, b, *_ in BYLINES], "id int, paras array<string>")
-    return rows.select("id", text.detect_byline(F.col("paras"), NAME_RULES, "Casa").alias("b")).select("id", "b.*")
+    """Paragraphs of each issue, turned by its number, so that bylines stand everywhere."""
+    rows = _base(spark, sf_dir).withColumn("k", ((F.col("k") + F.col("i")) % 8).cast("int"))
+    listed = rows.groupBy(F.col("i").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", _filled(BYLINES).alias("p")))), lambda r: r["p"]).alias("paras"))
+    return listed.select("id", text.detect_byline(F.col("paras"), NAME_RULES, "Casa").alias("b")).select("id", "b.*")
 
 
 @query("""
@@ -313,27 +339,31 @@ def q23_wrap_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("item_id", F.size("l").alias("lines"), F.array_max(F.transform("l", F.length)).alias("longest"))
 
 
-CAPTIONS = [("(1) Sello de 1902", True, "Sello de 1902"), ("(12).  Carta", True, "Carta"), ("(a) no", False, "(a) no"), ("texto (3) x", False, "texto (3) x")]
+CAPTIONS = ["(1) Sello @", "(12).  Carta ^", "(a) no @", "texto (3) @", "(7)sin blanco @", "(345).\tMapa"]
 
 
-@query(f"SELECT * FROM {values(CAPTIONS, 'v(line, is_caption, caption)')}")
+@query(f"""
+WITH {BASE_SQL}, l AS (SELECT {_filled_sql(CAPTIONS)} AS line FROM b UNION ALL SELECT '(' || p_size || ') ' || p_name FROM part UNION ALL SELECT p_name FROM part), q AS (SELECT line, regexp_replace(line, '[ \\t]{{2,}}', ' ', 'g') AS s, count(*) AS n FROM l GROUP BY line)
+SELECT line, regexp_matches(s, '^\\(\\d+\\)\\.?\\s') AS is_caption, trim(regexp_replace(s, '^\\(\\d+\\)\\.?\\s*', '')) AS caption, n FROM q
+""")
 def q24_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.createDataFrame([(c[0],) for c in CAPTIONS], "line string")
-    return lines.select("line", text.is_caption(F.col("line")).alias("is_caption"), text.caption_text(F.col("line")).alias("caption"))
+    part = table(spark, sf_dir, "part")
+    lines = _base(spark, sf_dir).select(_filled(CAPTIONS).alias("line")).unionByName(part.select(F.concat(F.lit("("), F.col("p_size").cast("string"), F.lit(") "), F.col("p_name")).alias("line"))).unionByName(part.select(F.col("p_name").alias("line")))
+    return lines.groupBy("line").agg(F.count("*").alias("n")).select("line", text.is_caption(F.col("line")).alias("is_caption"), text.caption_text(F.col("line")).alias("caption"), "n")
 
 
 BODIES = [
-    (1, "image_count: 0   # x\n(1) Sello (raro) fin\n(1) Sello (raro) bis\n\n<!-- IMÁGENES\n a\n-->\n\nz", "Sello (raro)", 2, "image_count: 2\n![Sello (raro)](/img/a.webp)\n(1) Sello (raro) bis\nz"),
-    (2, "image_count: 7\nnada", "Carta", 0, "image_count: 7\nnada"),
-    (3, "(3). Carta \\E [x] $1\ny", "Carta \\E [x] $1", 1, "![Carta \\E [x] $1](/img/a.webp)\ny"),
+    ("image_count: 0   # x\n(1) Sello (@) fin\n(1) Sello (@) bis\n\n<!-- IMÁGENES\n a\n-->\n\nz", "Sello (@)", "image_count: 2\n![Sello (@)](/img/a.webp)\n(1) Sello (@) bis\nz"),
+    ("image_count: 7\nnada @", "Carta", "image_count: 7\nnada @"),
+    ("(3). Carta \\E [x] $1@\ny", "Carta \\E [x] $1@", "![Carta \\E [x] $1@](/img/a.webp)\ny"),
 ]
 
 
-@query(f"SELECT id, replace(body, '~', chr(10)) AS body FROM {values([(b[0], b[4].replace(chr(10), '~')) for b in BODIES], 'v(id, body)')}")
+@query(f"WITH {BASE_SQL} SELECT i, k, {_filled_sql([b[2] for b in BODIES])} AS body FROM b")
 def q25_place_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([b[:4] for b in BODIES], "id int, body string, caption string, total int")
+    rows = _base(spark, sf_dir).withColumns({"body": _filled([b[0] for b in BODIES]), "caption": _filled([b[1] for b in BODIES])})
     body = text.place_image(text.drop_image_comments(F.col("body")), F.col("caption"), F.lit("/img/a.webp"))
-    return rows.select("id", text.set_image_count(body, F.col("total")).alias("body"))
+    return rows.select("i", "k", text.set_image_count(body, F.element_at(F.array(F.lit(2), F.lit(0), F.lit(1)), F.col("k") % 3 + 1)).alias("body"))
 
 
 # ---------------------------------------------------------------- dates
@@ -401,13 +431,13 @@ _DANGLE_SQL = "[" + ", ".join(f"'{w}'" for w in sequence.DANGLING) + "]"
 WITH w AS (SELECT CAST(doc_id AS VARCHAR) AS issue_id, unnest(string_split_regex(text, '\\s+')) AS s, generate_subscripts(string_split_regex(text, '\\s+'), 1) AS ord FROM documents),
 m AS (SELECT *, list_contains({_DANGLE_SQL}, trim(lower(strip_accents(s)), '.,;:')) AS hangs FROM w WHERE s <> ''),
 i AS (SELECT *, sum(CASE WHEN coalesce(b, false) THEN 0 ELSE 1 END) OVER (PARTITION BY issue_id ORDER BY ord) AS island FROM (SELECT *, lag(hangs) OVER (PARTITION BY issue_id ORDER BY ord) AS b FROM m))
-SELECT issue_id, island - 1 AS ord, md5(string_agg(s, ' ' ORDER BY ord)) AS md5, min(ord) AS page FROM i GROUP BY issue_id, island HAVING count(*) > 1
+SELECT issue_id, island - 1 AS ord, md5(string_agg(s, ' ' ORDER BY ord)) AS md5, min(ord) AS page FROM i GROUP BY issue_id, island
 """)
 def q31_danglers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word is a title: those that end on a connecting word take the next one."""
     words = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("issue_id"), F.posexplode(F.split("text", r"\s+")).alias("ord", "title")).where("title != ''")
     merged = sequence.merge_danglers(words.withColumn("page", F.col("ord") + 1))
-    return merged.where(F.contains("title", F.lit(" "))).select("issue_id", "ord", F.md5(F.col("title").cast("binary")).alias("md5"), "page")
+    return merged.select("issue_id", "ord", F.md5(F.col("title").cast("binary")).alias("md5"), "page")
 
 
 @query(f"""
@@ -426,30 +456,42 @@ def q33_ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.ordered_distinct(table(spark, sf_dir, "events"), ["user_id"], "event_id", "event_type")
 
 
-def _blocks(spark: SparkSession) -> DataFrame:
-    rows = [(i, p, t, int(t) if t.strip().isdigit() else None) for i, lines in ISSUES.items() for p, t in enumerate(lines)]
-    return spark.createDataFrame(rows, "issue_id string, pos int, text string, pagenum int").withColumn("images", F.expr("cast(array() as array<string>)")).withColumn("hashes", F.expr("cast(array() as array<string>)"))
+#: Titles by place: 2 has a feature at its end, 4 a word that hangs, 6 is a section that is skipped.
+TITLE_SQL = "CASE k WHEN 2 THEN 'LA CARTA ' || w || ' UN SELLO CON HISTORIA' WHEN 4 THEN 'LA CARTA ' || w || ' DE' WHEN 6 THEN 'BUZÓN DE NOVEDADES' ELSE 'LA CARTA ' || w END"
+ISSUE_SQL = f"{BASE_SQL}, t AS (SELECT *, CAST(i AS VARCHAR) AS issue_id, i % 4 AS style, {TITLE_SQL} AS title, CAST(3 + 2 * k + c % 2 AS INT) AS page FROM b)"
 
 
-ISSUES = {
-    "a": ["Portada", "DIRECTORIO", "2", "EDITORIAL ......", "3", "LA LOCOMOTORA DE", "VAPOR", "continúa aquí", "4", "9", "C O N T E N I D O", "LOS BARCOS", "SIN PÁGINA", "MASTHEAD SA", "cuerpo"],
-    "b": ["CONTENIDO", "EDITORIAL", "UN CAMINO DE", "HIERRO BUZÓN DE NOVEDADES", "EL CREDO", "1", "2", "3", "5", "MASTHEAD SA"],
-    "c": ["DIRECTORIO", "EDITORIAL", "LA CARTA", "2", "3", "7"],
-}
-BOUNDS = [("a", 1, 13), ("b", 0, 9), ("c", 0, 6)]
-TOKENS = [("a", 0, "title", "DIRECTORIO", None), ("a", 1, "num", None, 2), ("a", 2, "title", "EDITORIAL", None), ("a", 3, "num", None, 3), ("a", 4, "title", "LA LOCOMOTORA DE", None), ("a", 5, "title", "VAPOR continúa aquí", None), ("a", 6, "num", None, 4), ("a", 7, "num", None, 9), ("a", 8, "title", "LOS BARCOS", None), ("a", 9, "title", "SIN PÁGINA", None)]
-ENTRIES = [
-    ("a", 0, "DIRECTORIO", 2), ("a", 1, "EDITORIAL", 3), ("a", 2, "LA LOCOMOTORA DE VAPOR continúa aquí", 4), ("a", 3, "LOS BARCOS", None), ("a", 4, "SIN PÁGINA", None),
-    ("b", 0, "EDITORIAL", 1), ("b", 1, "UN CAMINO DE", 2), ("b", 2, "HIERRO BUZÓN DE NOVEDADES", 3), ("b", 3, "EL CREDO", 5), ("c", 0, "DIRECTORIO", 2), ("c", 1, "EDITORIAL", 3), ("c", 2, "LA CARTA", 7),
-]
-CORRECTED = [
-    ("a", 0, "DIRECTORIO", 2), ("a", 1, "EDITORIAL", 3), ("a", 2, "LA LOCOMOTORA DE VAPOR continúa aquí LOS BARCOS", 4), ("b", 0, "EDITORIAL", 1), ("b", 1, "UN CAMINO DE HIERRO", 2), ("b", 2, "BUZÓN DE NOVEDADES", 3), ("b", 3, "EL CREDO", 5), ("c", 0, "DIRECTORIO", 2), ("c", 1, "EDITORIAL", 3), ("c", 2, "LA CARTA", 7),
-]
-MANUAL = [("a", "drop", "Sin página"), ("a", "merge_prev", "los barcos")]
+def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _base(spark, sf_dir).withColumns({"title": F.expr(TITLE_SQL), "page": (3 + 2 * F.col("k") + F.col("c") % 2).cast("int"), "issue_id": F.col("i").cast("string"), "style": F.col("i") % 4})
+
+
+#: Blocks that an issue of each style has whatever its titles.
+FIXED = [[(0, "Portada"), (1, "DIRECTORIO"), (2, "2"), (19, "C O N T E N I D O"), (20, "MASTHEAD SA"), (21, "cuerpo")], [(0, "CONTENIDO"), (17, "MASTHEAD SA")], [(0, "P Á G I N A"), (17, "99")], [(15, "MASTHEAD SA")]]
+
 
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of contents of four styles: page after each title, all pages after all titles, one page more, titles without page at the end."""
+    rows = _issues(spark, sf_dir)
+    block = lambda at, line: F.struct(at.cast("int").alias("pos"), line.alias("text"))
+    k, title, page = F.col("k"), F.col("title"), F.col("page").cast("string")
+    apart = F.array(block(1 + k, title), block(9 + k, page))
+    last = F.when(k == 7, F.array(block(6 + k, title), block(F.lit(14), F.concat(F.lit("continúa "), F.lower("w"))))).otherwise(F.array(block(6 + k, title)))
+    own = F.when(F.col("style") == 0, F.array(block(3 + 2 * k, title), block(4 + 2 * k, page))).when(F.col("style") < 3, apart).when(k < 6, F.array(block(2 * k, title), block(2 * k + 1, page))).otherwise(last)
+    fixed = spark.createDataFrame([(s, p, t) for s, blocks in enumerate(FIXED) for p, t in blocks], "style long, pos int, text string")
+    every = rows.select("issue_id", F.inline(own)).unionByName(rows.select("issue_id", "style").distinct().join(F.broadcast(fixed), "style").select("issue_id", "pos", "text"))
+    return every.withColumns({"pagenum": F.col("text").try_cast("int"), "images": F.expr("cast(array() as array<string>)"), "hashes": F.expr("cast(array() as array<string>)")})
 
-def _entries(spark: SparkSession) -> DataFrame:
-    blocks = _blocks(spark)
+
+#: Entries of each style, straight from the orders.
+ENTRIES_SQL = f"""{ISSUE_SQL}, e AS (
+  SELECT issue_id, i, k + 1 AS ord, k, w, title, page FROM t WHERE style = 0 UNION ALL SELECT DISTINCT issue_id, i, 0, -1, '', 'DIRECTORIO', 2 FROM t WHERE style = 0
+  UNION ALL SELECT issue_id, i, k, k, w, title, page FROM t WHERE style = 1
+  UNION ALL SELECT issue_id, i, k + 1, k, w, title, coalesce(lead(page) OVER (PARTITION BY i ORDER BY k), 99) FROM t WHERE style = 2 UNION ALL SELECT issue_id, i, 0, -1, '', 'DIRECTORIO', min(page) FROM t WHERE style = 2 GROUP BY ALL
+  UNION ALL SELECT issue_id, i, k, k, w, CASE WHEN k = 7 THEN title || ' continúa ' || lower(w) ELSE title END, CASE WHEN k < 6 THEN page END FROM t WHERE style = 3)"""
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = _blocks(spark, sf_dir)
     tokens = sequence.toc_tokens(blocks, sequence.toc_bounds(blocks, "MASTHEAD"))
     layout = sequence.toc_layout(tokens)
     mixed = tokens.join(layout.where("interleaved"), "issue_id", "left_semi")
@@ -457,69 +499,99 @@ def _entries(spark: SparkSession) -> DataFrame:
     return sequence.interleaved_entries(mixed).unionByName(sequence.block_entries(apart))
 
 
-@query(f"SELECT * FROM {values(BOUNDS, 'v(issue_id, start, end_)')}")
+@query(f"WITH {ISSUE_SQL} SELECT DISTINCT issue_id, CAST(style = 0 AS INT) AS start, [20, 17, 18, 15][style + 1] AS end_ FROM t")
 def q34_toc_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequence.toc_bounds(_blocks(spark), "MASTHEAD").withColumnRenamed("end", "end_")
+    return sequence.toc_bounds(_blocks(spark, sf_dir), "MASTHEAD").withColumnRenamed("end", "end_")
 
 
-@query(f"SELECT * FROM {values(TOKENS, 'v(issue_id, idx, kind, title, page)')}")
+@query(f"""
+WITH {ISSUE_SQL}, n AS (SELECT *, count(*) OVER (PARTITION BY i) AS m FROM t),
+r AS (SELECT issue_id, CASE style WHEN 0 THEN 2 + 2 * k WHEN 3 THEN CASE WHEN k < 6 THEN 2 * k ELSE 6 + k END ELSE k END AS idx, 'title' AS kind, CASE WHEN style = 3 AND k = 7 THEN title || ' continúa ' || lower(w) ELSE title END AS title, CAST(NULL AS INT) AS page FROM n
+  UNION ALL SELECT issue_id, CASE style WHEN 0 THEN 3 + 2 * k WHEN 3 THEN 2 * k + 1 ELSE m + k END, 'num', NULL, page FROM n WHERE style < 3 OR k < 6
+  UNION ALL SELECT DISTINCT issue_id, 0, 'title', 'DIRECTORIO', CAST(NULL AS INT) FROM n WHERE style = 0 UNION ALL SELECT DISTINCT issue_id, 1, 'num', NULL, 2 FROM n WHERE style = 0
+  UNION ALL SELECT DISTINCT issue_id, 2 * m, 'num', NULL, 99 FROM n WHERE style = 2)
+SELECT issue_id, idx, kind, title, page FROM r
+""")
 def q35_toc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = _blocks(spark).where("issue_id = 'a'")
+    blocks = _blocks(spark, sf_dir)
     return sequence.toc_tokens(blocks, sequence.toc_bounds(blocks, "MASTHEAD"))
 
 
-@query(f"SELECT * FROM {values(ENTRIES, 'v(issue_id, ord, title, page)')}")
+@query(f"WITH {ENTRIES_SQL} SELECT issue_id, ord, title, page FROM e")
 def q36_toc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _entries(spark)
+    return _entries(spark, sf_dir)
 
 
-@query(f"SELECT * FROM {values(CORRECTED, 'v(issue_id, ord, title, page)')}")
+@query(f"""
+WITH {ENTRIES_SQL}, p AS (SELECT issue_id, i, ord, 0 AS part, k, replace(title, ' UN SELLO CON HISTORIA', '') || CASE WHEN k = 4 THEN coalesce(' ' || lead(title) OVER (PARTITION BY i ORDER BY ord), '') ELSE '' END AS title, page FROM e
+  UNION ALL SELECT issue_id, i, ord, 1, k, 'UN SELLO CON HISTORIA', page FROM e WHERE k = 2),
+f AS (SELECT *, CASE WHEN i % 16 = 4 AND k = 2 AND part = 1 THEN lead(title) OVER (PARTITION BY i ORDER BY ord, part) END AS folded FROM p WHERE k <> 5)
+SELECT issue_id, row_number() OVER (PARTITION BY i ORDER BY ord, part) - 1 AS ord, title || coalesce(' ' || folded, '') AS title, page FROM f WHERE NOT (i % 16 = 0 AND k = 7) AND NOT (i % 16 = 4 AND k = 3)
+""")
 def q37_toc_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequence.toc_corrections(_entries(spark), spark.createDataFrame(MANUAL, "issue_id string, kind string, key string"))
+    """By hand, the last title of every sixteenth issue goes, and in others the fourth joins what is before it."""
+    rows = _issues(spark, sf_dir)
+    drop = rows.where("i % 16 = 0 and k = 7").select("issue_id", F.lit("drop").alias("kind"), F.lower("title").alias("key"))
+    fold = rows.where("i % 16 = 4 and k = 3").select("issue_id", F.lit("merge_prev").alias("kind"), F.col("title").alias("key"))
+    return sequence.toc_corrections(_entries(spark, sf_dir), drop.unionByName(fold))
+
+
+LOCATED_SQL = f"{BASE_SQL}, e AS (SELECT CAST(i AS VARCHAR) AS issue_id, i, k AS ord, CASE k WHEN 0 THEN 'DIRECTORIO' WHEN 1 THEN 'EDITORIAL ' || w WHEN 6 THEN 'BUZÓN DE NOVEDADES' ELSE 'LA CARTA ' || w END AS title, CASE WHEN c % 7 <> 0 THEN CAST(3 + 2 * k + c % 4 AS INT) END AS page, CASE WHEN c % 5 <> 0 THEN CAST(10 * k + c % 8 AS INT) END AS loc FROM b)"
+
+
+def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c, w = F.col("k"), F.col("c"), F.col("w")
+    title = F.when(k == 0, "DIRECTORIO").when(k == 1, F.concat(F.lit("EDITORIAL "), w)).when(k == 6, "BUZÓN DE NOVEDADES").otherwise(F.concat(F.lit("LA CARTA "), w))
+    return _base(spark, sf_dir).select(F.col("i").cast("string").alias("issue_id"), k.alias("ord"), title.alias("title"), F.when(c % 7 != 0, 3 + 2 * k + c % 4).cast("int").alias("page"), F.when(c % 5 != 0, 10 * k + c % 8).cast("int").alias("loc"))
 
 
-LOCATED = [("x", 0, "DIRECTORIO", 2, None), ("x", 1, "EDITORIAL", 3, 2), ("x", 2, "LA LOCOMOTORA", 5, None), ("x", 3, "BUZÓN DE NOVEDADES", 5, 6), ("x", 4, "LOS BARCOS", None, 9)]
+def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = _located(spark, sf_dir)
+    return sequence.section_ranges(entries, entries.select("issue_id").distinct().withColumn("n", F.lit(90)))
 
 
 @query(f"""
-SELECT issue_id, ord, loc + 1 AS lo, CASE WHEN loc IS NOT NULL THEN coalesce(first_value(loc IGNORE NULLS) OVER w, 12) END AS hi, page AS page_start,
-  CASE WHEN lead(page) OVER (ORDER BY ord) IS NOT NULL THEN greatest(lead(page) OVER (ORDER BY ord) - 1, page) END AS page_end
-FROM {values(LOCATED, 'v(issue_id, ord, title, page, loc)')} WINDOW w AS (ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+WITH {LOCATED_SQL} SELECT issue_id, ord, loc + 1 AS lo, CASE WHEN loc IS NOT NULL THEN coalesce(min(loc) OVER (PARTITION BY i ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 90) END AS hi, page AS page_start,
+  CASE WHEN lead(page) OVER (PARTITION BY i ORDER BY ord) IS NOT NULL THEN greatest(lead(page) OVER (PARTITION BY i ORDER BY ord) - 1, page) END AS page_end FROM e
 """)
 def q38_section_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = spark.createDataFrame(LOCATED, "issue_id string, ord int, title string, page int, loc int")
-    return sequence.section_ranges(entries, spark.createDataFrame([("x", 12)], "issue_id string, n int")).select("issue_id", "ord", "lo", "hi", "page_start", "page_end")
+    return _ranges(spark, sf_dir).select("issue_id", "ord", "lo", "hi", "page_start", "page_end")
 
 
-@query(f"SELECT * FROM {values([('x', 1, 'editorial', ''), ('x', 2, 'investigacion', 'empty-body heading-image-only'), ('x', 4, 'investigacion', '')], 'v(issue_id, ord, feature_type, review)')}")
+@query(f"WITH {LOCATED_SQL} SELECT issue_id, ord, CASE WHEN ord = 1 THEN 'editorial' ELSE 'investigacion' END AS feature_type, CASE WHEN loc IS NULL THEN 'empty-body heading-image-only' ELSE '' END AS review FROM e WHERE ord NOT IN (0, 6)")
 def q39_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = spark.createDataFrame(LOCATED, "issue_id string, ord int, title string, page int, loc int")
-    kept = sequence.articles(sequence.section_ranges(entries, spark.createDataFrame([("x", 12)], "issue_id string, n int")))
+    kept = sequence.articles(_ranges(spark, sf_dir))
     return kept.select("issue_id", "ord", "feature_type", F.array_join("review", " ").alias("review"))
 
 
-BODY = ["Primera línea que", "sigue aquí", "", "12", "VOLUMEN 3", "Título", "continúa así.", "nueva en minúscula", "Fin: ", "otra"]
-CLEANED = [("x", 1, 0, "Primera línea que sigue aquí continúa así."), ("x", 1, 1, "nueva en minúscula"), ("x", 1, 2, "Fin:"), ("x", 1, 3, "otra")]
+BODY = ["Primera @ que", "sigue ^ aquí", "Título @", "continúa ^.", "12", "VOLUMEN 3", "nueva ^ en minúscula", "Fin: "]
 
 
-@query(f"SELECT * FROM {values(CLEANED, 'v(issue_id, section, para, text)')}")
+@query(f"""
+WITH {BASE_SQL}, g AS (SELECT i, max(w) FILTER (k = 0) AS w0, max(w) FILTER (k = 1) AS w1, max(w) FILTER (k = 2) AS w2, max(c) FILTER (k = 2) AS c2, max(w) FILTER (k = 3) AS w3, max(w) FILTER (k = 6) AS w6, max(k) AS last FROM b GROUP BY i),
+r AS (SELECT i, 0 AS section, 0 AS para, 'Primera ' || w0 || ' que sigue ' || lower(w1) || ' aquí' || CASE WHEN c2 % 2 = 0 THEN ' continúa ' || lower(w3) || '.' ELSE '' END AS text FROM g
+  UNION ALL SELECT i, 0, 1, 'Título ' || w2 || ' continúa ' || lower(w3) || '.' FROM g WHERE c2 % 2 <> 0 UNION ALL SELECT i, 1, 0, 'nueva ' || lower(w6) || ' en minúscula' FROM g WHERE last >= 6 UNION ALL SELECT i, 1, 1, 'Fin:' FROM g WHERE last >= 7)
+SELECT CAST(i AS VARCHAR) AS issue_id, section, para, text FROM r
+""")
 def q40_clean_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("x", 1, p, t, int(t) if t.isdigit() else None) for p, t in enumerate(BODY)]
-    blocks = spark.createDataFrame(rows, "issue_id string, section int, pos int, text string, pagenum int")
-    return sequence.clean_body(blocks, spark.createDataFrame([("x", "TÍTULO")], "issue_id string, title string"))
+    """The third line of an issue repeats a title where its number is even."""
+    rows = _base(spark, sf_dir)
+    blocks = rows.select(F.col("i").cast("string").alias("issue_id"), F.floor(F.col("k") / 4).cast("int").alias("section"), F.col("k").alias("pos"), _filled(BODY).alias("text")).withColumn("pagenum", F.col("text").try_cast("int"))
+    titles = rows.where("k = 2 and c % 2 = 0").select(F.col("i").cast("string").alias("issue_id"), F.concat(F.lit("TÍTULO "), F.col("w")).alias("title"))
+    return sequence.clean_body(blocks, titles)
 
 
 # ---------------------------------------------------------------- html
 
 PAGES = [
-    "<h1>Uno</h1><p>a</p>", "<p>a</p><p>Bibliografía: Ruiz</p><p>Dos</p><p></p> x <p>Tres</p><p>NUEVA SECCIÓN</p><p>z</p>", "<p>bibliografia consultada</p>\n<p>Uno</p>", "<p>Bibliografía</p>",
-    '<p><img src="a" alt=""></p>\n<p><img src="b" alt=""></p><p>t</p><p><img src="c" alt="Pie"></p><p><img src="d" alt=""></p>', '<p>x</p><p><img src="a" alt=""></p>texto<p><img src="b" alt=""></p>', "",
+    "<h1>Uno @</h1><p>^</p>", "<p>a</p><p>Bibliografía: Ruiz @</p><p>Dos</p><p></p> x <p>Tres</p><p>NUEVA SECCIÓN</p><p>z</p>", "<p>bibliografia consultada</p>\n<p>Uno @</p>", "<p>Bibliografía</p>",
+    '<p><img src="a" alt=""></p>\n<p><img src="b" alt=""></p><p>t</p><p><img src="c" alt="Pie @"></p><p><img src="d" alt=""></p>', '<p>x</p><p><img src="a" alt=""></p>texto ^<p><img src="b" alt=""></p>', "",
 ]
 _IMG = '<img src="{}" alt="" loading="lazy" />'
 _BIB, _GAL, _FIG = '<h2 class="bib-heading">Bibliografía</h2>', '<div class="article-gallery">{}</div>', '<figure class="article-figure">{}<figcaption>{}</figcaption></figure>'
 RENDERED = [
-    "<p>a</p>", f'<p>a</p>{_BIB}<ul class="bibliography"><li>Ruiz</li><li>Dos</li><li>Tres</li></ul><p>NUEVA SECCIÓN</p><p>z</p>', f'{_BIB}<ul class="bibliography"><li>Uno</li></ul>', _BIB,
-    "\n" + _GAL.format(_IMG.format("a") + _IMG.format("b")) + "<p>t</p>" + _FIG.format(_IMG.format("c"), "Pie") + _GAL.format(_IMG.format("d")), "<p>x</p>" + _GAL.format(_IMG.format("a")) + "texto" + _GAL.format(_IMG.format("b")), "",
+    "<p>^</p>", f'<p>a</p>{_BIB}<ul class="bibliography"><li>Ruiz @</li><li>Dos</li><li>Tres</li></ul><p>NUEVA SECCIÓN</p><p>z</p>', f'{_BIB}<ul class="bibliography"><li>Uno @</li></ul>', _BIB,
+    "\n" + _GAL.format(_IMG.format("a") + _IMG.format("b")) + "<p>t</p>" + _FIG.format(_IMG.format("c"), "Pie @") + _GAL.format(_IMG.format("d")), "<p>x</p>" + _GAL.format(_IMG.format("a")) + "texto ^" + _GAL.format(_IMG.format("b")), "",
 ]
 SOURCES = [None, None, None, None, "a", "a", None]
 
@@ -531,10 +603,10 @@ def q41_strip_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html.strip_leading_title(own).alias("html"))
 
 
-@query(f"SELECT id, replace(html, '~', chr(10)) AS html, image FROM {values([(k, h.replace(chr(10), '~'), s) for k, (h, s) in enumerate(zip(RENDERED, SOURCES, strict=True))], 'v(id, html, image)')}")
+@query(f"WITH {BASE_SQL} SELECT i, k, {_filled_sql(RENDERED)} AS html, {_literal(SOURCES)}[k % {len(SOURCES)} + 1] AS image FROM b")
 def q42_article_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.createDataFrame(list(enumerate(PAGES)), "id int, html string")
-    return pages.select("id", html.article_body(F.col("html")).alias("html"), html.first_image_src(F.col("html")).alias("image"))
+    pages = _base(spark, sf_dir).select("i", "k", _filled(PAGES).alias("html"))
+    return pages.select("i", "k", html.article_body(F.col("html")).alias("html"), html.first_image_src(F.col("html")).alias("image"))
 
 
 # ---------------------------------------------------------------- matching
@@ -551,57 +623,95 @@ def q43_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.caption_candidates(clicks, others).select(F.col("article_id").alias("user_id"), "cap_pos", "pos", "preference")
 
 
-CAPTION_ROWS = [("a", 2), ("a", 3), ("a", 9), *[("b", k) for k in range(9)], ("c", 0)]
-IMAGE_ROWS = [("a", 2, 0, "x"), ("a", 1, 0, "y"), ("a", 5, 0, "x"), ("a", 5, 1, "z"), ("a", 20, 0, "w"), ("a", 21, 0, "w"), ("b", 0, 0, "q"), ("c", 4, 0, "far"), ("c", 3, 0, "near")]
-CLAIMED = [("a", 2, "x"), ("a", 3, "y"), ("a", 9, None), ("c", 0, "near")]
-GALLERY = [("a", "z", 5), ("a", "w", 20), ("b", "q", 0), ("c", "far", 4)]
+#: Events in articles of twenty blocks: clicks are captions, others are images of few files.
+FIGURES_SQL = """f AS (SELECT CAST(event_id // 20 AS VARCHAR) AS article_id, CAST(event_id % 20 AS INT) AS pos, event_type = 'click' AS is_caption, 'f' || user_id % 6 || '.png' AS file FROM events),
+own AS (SELECT article_id, pos AS cap_pos, row_number() OVER (PARTITION BY article_id ORDER BY pos) AS nth, count(*) OVER (PARTITION BY article_id) AS n FROM f WHERE is_caption),
+near AS (SELECT o.article_id, o.nth, list(f.file ORDER BY CASE WHEN f.pos <= o.cap_pos THEN o.cap_pos - f.pos ELSE 3 + f.pos - o.cap_pos END) AS files FROM own o JOIN f ON f.article_id = o.article_id AND NOT f.is_caption AND abs(f.pos - o.cap_pos) <= 3 GROUP BY ALL),
+turn AS (SELECT o.article_id, o.cap_pos, o.nth, coalesce(near.files, []) AS files FROM own o LEFT JOIN near USING (article_id, nth) WHERE o.n <= 8),
+r AS (SELECT article_id, CAST(0 AS BIGINT) AS nth, CAST(NULL AS INT) AS cap_pos, CAST(NULL AS VARCHAR) AS file, CAST([] AS VARCHAR[]) AS taken FROM turn GROUP BY article_id
+  UNION ALL SELECT article_id, nth, cap_pos, file, CASE WHEN file IS NULL THEN taken ELSE list_append(taken, file) END FROM (
+    SELECT t.article_id, t.nth, t.cap_pos, r.taken, list_filter(t.files, lambda x: NOT list_contains(r.taken, x))[1] AS file FROM r JOIN turn t ON t.article_id = r.article_id AND t.nth = r.nth + 1))"""
 
 
-def _claimed(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    images = spark.createDataFrame(IMAGE_ROWS, "article_id string, pos int, ord int, file string")
-    return images, matching.match_captions(spark.createDataFrame(CAPTION_ROWS, "article_id string, cap_pos int"), images)
+def _claimed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    events = table(spark, sf_dir, "events").select(F.expr("event_id div 20").cast("string").alias("article_id"), (F.col("event_id") % 20).cast("int").alias("pos"), "event_type", F.concat(F.lit("f"), (F.col("user_id") % 6).cast("string"), F.lit(".png")).alias("file"))
+    images = events.where("event_type != 'click'").select("article_id", "pos", F.lit(0).alias("ord"), "file")
+    return images, matching.match_captions(events.where("event_type = 'click'").select("article_id", F.col("pos").alias("cap_pos")), images)
 
 
-@query(f"SELECT * FROM {values(CLAIMED, 'v(article_id, cap_pos, file)')}")
+@query(f"WITH RECURSIVE {FIGURES_SQL} SELECT article_id, cap_pos, file FROM r WHERE nth > 0")
 def q44_match_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _claimed(spark)[1]
+    return _claimed(spark, sf_dir)[1]
 
 
-@query(f"SELECT * FROM {values(GALLERY, 'v(article_id, file, pos)')}")
+@query(f"WITH RECURSIVE {FIGURES_SQL} SELECT article_id, file, min(pos) AS pos FROM f WHERE NOT is_caption AND (article_id, file) NOT IN (SELECT (article_id, file) FROM r WHERE file IS NOT NULL) GROUP BY ALL")
 def q45_gallery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images, matched = _claimed(spark)
+    images, matched = _claimed(spark, sf_dir)
     return matching.gallery(images, matched).select("article_id", "file", F.col("first.pos").alias("pos"))
 
 
-@query()
-def q46_fuzzy_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part names against those that share their first word's brand and size; difflib's ratio has no SQL form."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", text.norm_key(F.col("p_name")).alias("key"))
-    other = part.select(F.col("p_partkey").alias("other"), "p_brand", "p_size", F.col("key").alias("other_key"))
-    pairs = part.join(other, ["p_brand", "p_size"]).where("p_partkey < other")
-    return matching.ratio(pairs, "key", "other_key").select("p_partkey", "other", "score")
+#: Keys of two runs of letters, whose longest common parts have a closed form: a heading of b and a, a title of b or c and a.
+HEAD_SQL, WANTED_SQL = "repeat('b', CAST(c % 4 + 1 AS INT)) || repeat('a', CAST(c // 4 % 9 + 2 AS INT))", "repeat(CASE WHEN c % 3 = 0 THEN 'b' ELSE 'c' END, CAST(c // 7 % 3 + 1 AS INT)) || repeat('a', CAST(c // 5 % 11 + 2 AS INT))"
+RATIO_SQL = """CASE WHEN length(h) < 4 THEN 0 WHEN starts_with(h, left(t, 15)) OR starts_with(t, left(h, 15)) THEN 0.95
+  ELSE 2.0 * (least(length(h) - length(replace(h, 'a', '')), length(t) - length(replace(t, 'a', ''))) + least(length(h) - length(replace(h, 'b', '')), length(t) - length(replace(t, 'b', '')))) / (length(h) + length(t)) END"""
 
 
-HEADINGS = {"x": ["EDITORIAL", "texto", "EDITORIAL", "cuerpo LA LOCOMOTORA", "LA LOCOMOTRA", "por Ana", "aquí empieza Carlos", "LOS BARCOS DE VAPOR Y MÁS", "fin"]}
-WANTED = [("x", 0, "DIRECTORIO", None), ("x", 1, "EDITORIAL", 2), ("x", 2, "LA LOCOMOTORA", 4), ("x", 3, "EL MÚSICO", 4), ("x", 4, "LOS BARCOS DE VAPOR", 7), ("x", 5, "NO ESTÁ", None)]
+def _letters(rows: DataFrame) -> DataFrame:
+    """Rows (c, ...) with head and wanted, as HEAD_SQL and WANTED_SQL have them."""
+    return rows.withColumns({"head": F.expr("concat(repeat('b', int(c % 4 + 1)), repeat('a', int(c div 4 % 9 + 2)))"), "wanted": F.expr("concat(repeat(if(c % 3 = 0, 'b', 'c'), int(c div 7 % 3 + 1)), repeat('a', int(c div 5 % 11 + 2)))")})
 
 
-@query(f"SELECT issue_id, ord, loc FROM {values(WANTED, 'v(issue_id, ord, title, loc)')}")
-def q47_locate_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(i, p, t, []) for i, lines in HEADINGS.items() for p, t in enumerate(lines)]
-    blocks = spark.createDataFrame(rows, "issue_id string, pos int, text string, hashes array<string>")
-    entries = spark.createDataFrame([w[:3] for w in WANTED], "issue_id string, ord int, title string")
-    anchors = spark.createDataFrame([("x", "El músico", "EMPIEZA carlos")], "issue_id string, key string, phrase string")
-    return matching.locate_headings(blocks, entries, sequence.body_start(blocks), anchors=anchors)
+@query(f"""
+SELECT l_orderkey, l_linenumber, round({RATIO_SQL}, 9) AS score, count(*) AS n FROM (
+  SELECT l_orderkey, l_linenumber, (SELECT {HEAD_SQL} FROM (SELECT l_partkey AS c)) AS h, (SELECT {WANTED_SQL} FROM (SELECT l_suppkey * 7 + l_partkey AS c)) AS t FROM lineitem) GROUP BY ALL
+""")
+def q46_fuzzy_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A heading and a title from each line of an order; of such keys the ratio has a closed form."""
+    lines = table(spark, sf_dir, "lineitem")
+    pairs = _letters(lines.withColumn("c", F.col("l_partkey"))).select("l_orderkey", "l_linenumber", "head", (F.col("l_suppkey") * 7 + F.col("l_partkey")).alias("c"))
+    pairs = _letters(pairs.withColumnRenamed("head", "h")).select("l_orderkey", "l_linenumber", "h", F.col("wanted").alias("t"))
+    scored = matching.ratio(pairs, "t", "h")
+    return scored.groupBy("l_orderkey", "l_linenumber", F.round("score", 9).alias("score")).agg(F.count("*").alias("n"))
 
 
-MERGED = [("m", 0, "EDITORIAL"), ("m", 1, "B DE C"), ("m", 2, "LARGO TITULO X")]
+#: Some blocks of an issue are no headings: 5 is a byline where c is even, 7 has a phrase, and 3 an image of two hashes.
+@query(f"""
+WITH RECURSIVE {BASE_SQL}, l AS (SELECT i, k, c, {HEAD_SQL} AS h, {WANTED_SQL} AS t, (k = 5 AND c % 2 = 0) AS byline, k = 7 AS told FROM b),
+e AS (SELECT i, k AS ord, k // 2 AS nth, t, (k = 6 AND c % 5 = 0) AS directory FROM l WHERE k % 2 = 0),
+s AS (SELECT e.i, e.nth, l.k AS pos, round({RATIO_SQL.replace("(h)", "(l.h)").replace("(h,", "(l.h,").replace("(t)", "(e.t)").replace("(t,", "(e.t,").replace("left(h", "left(l.h").replace("left(t", "left(e.t")}, 12) AS score FROM e JOIN l ON e.i = l.i WHERE NOT l.byline AND NOT l.told),
+p AS (SELECT e.*, coalesce((SELECT list(pos ORDER BY pos) FROM s WHERE s.i = e.i AND s.nth = e.nth AND score >= 0.72), []) AS sure, coalesce((SELECT list({{'score': score, 'pos': pos}} ORDER BY score DESC, pos) FROM s WHERE s.i = e.i AND s.nth = e.nth AND score >= 0.7), []) AS likely,
+  CASE WHEN t = 'caaaa' THEN coalesce((SELECT list(k ORDER BY k) FROM l WHERE l.i = e.i AND k = 3 AND c % 4 = 0), []) ELSE [] END AS shown, CASE WHEN EXISTS (SELECT 1 FROM e o WHERE o.i = e.i AND o.nth >= 2 AND o.t = e.t) THEN coalesce((SELECT list(k ORDER BY k) FROM l WHERE l.i = e.i AND told), []) ELSE [] END AS told, coalesce((SELECT list(k ORDER BY k) FROM l WHERE l.i = e.i AND byline), []) AS bylines FROM e),
+r AS (SELECT DISTINCT i, -1 AS nth, CAST(i % 3 AS INT) AS cursor, CAST(NULL AS INT) AS ord, CAST(NULL AS BIGINT) AS loc FROM p
+  UNION ALL SELECT i, nth, CAST(CASE WHEN directory THEN cursor ELSE coalesce(heading + 1, phrase, cursor) END AS INT), ord, CASE WHEN NOT directory THEN coalesce(heading, coalesce(list_filter(bylines, lambda x: x >= greatest(cursor, phrase - 3) AND x < phrase)[1], phrase) - 1) END FROM (
+    SELECT p.i, p.nth, p.ord, p.directory, p.bylines, r.cursor, coalesce(list_filter(p.sure, lambda x: x >= r.cursor)[1], list_filter(p.likely, lambda x: x.pos >= r.cursor)[1].pos, list_filter(p.shown, lambda x: x >= r.cursor)[1]) AS heading, list_filter(p.told, lambda x: x >= r.cursor)[1] AS phrase
+    FROM r JOIN p ON p.i = r.i AND p.nth = r.nth + 1))
+SELECT CAST(i AS VARCHAR) AS issue_id, ord, loc FROM r WHERE nth >= 0
+""")
+def q47_locate_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _letters(_base(spark, sf_dir)).withColumn("issue_id", F.col("i").cast("string"))
+    k, c = F.col("k"), F.col("c")
+    line = F.when((k == 5) & (c % 2 == 0), "por Ana Ruiz").when(k == 7, "aquí empieza Carlos").otherwise(F.upper("head"))
+    hashes = F.when((k == 3) & (c % 4 == 0), F.array(F.lit("x"), F.lit("banner"))).otherwise(F.array(F.lit("y")))
+    blocks = rows.select("issue_id", k.alias("pos"), line.alias("text"), hashes.alias("hashes"))
+    title = F.when((k == 6) & (c % 5 == 0), "DIRECTORIO").otherwise(F.upper("wanted"))
+    entries = rows.where("k % 2 = 0").select("issue_id", k.alias("ord"), title.alias("title"))
+    anchors = rows.where("k in (4, 6)").select("issue_id", F.col("wanted").alias("key"), F.lit("EMPIEZA carlos").alias("phrase")).distinct()
+    starts = rows.select("issue_id", (F.col("i") % 3).cast("int").alias("start")).distinct()
+    return matching.locate_headings(blocks, entries, starts, banners={"caaaa": "banner"}, anchors=anchors)
 
 
-@query(f"SELECT * FROM {values(MERGED, 'v(issue_id, idx, title)')}")
+@query(f"""
+WITH RECURSIVE {BASE_SQL}, t AS (SELECT i, list(CASE WHEN c % 5 = 0 THEN 'LA ' || w || ' DE' WHEN c % 7 = 0 THEN 'Y ' || w ELSE repeat('CARTA ', CAST(c % 3 AS INT)) || w END ORDER BY k) AS ts, CAST(i % 9 AS INT) AS target FROM b GROUP BY i),
+r AS (SELECT i, ts, target FROM t UNION ALL SELECT i, ts[1:spot - 2] || [ts[spot - 1] || ' ' || ts[spot]] || ts[spot + 1:], target FROM (
+  SELECT *, coalesce(list_filter(generate_series(2, len(ts)), lambda j: list_contains({_literal(sorted(matching.CONTINUES))}, lower(string_split(ts[j - 1], ' ')[-1])) OR list_contains({_literal(sorted(matching.CONTINUED))}, lower(string_split(ts[j], ' ')[1])))[1],
+    CASE WHEN len(ts) > 2 THEN list_position(list_transform(ts[3:], lambda x: length(x)), list_min(list_transform(ts[3:], lambda x: length(x)))) + 2 ELSE len(ts) END) AS spot FROM r WHERE len(ts) > target AND target > 0))
+SELECT CAST(i AS VARCHAR) AS issue_id, CAST(unnest(generate_series(1, len(ts))) - 1 AS INT) AS idx, unnest(ts) AS title FROM r WHERE len(ts) <= target OR target = 0
+""")
 def q48_merge_to_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("m", k, t, 3) for k, t in enumerate(["EDITORIAL", "B DE", "C", "LARGO TITULO", "X"])]
-    return matching.merge_to_count(spark.createDataFrame(rows, "issue_id string, idx int, title string, target int"))
+    c, w = F.col("c"), F.col("w")
+    title = F.when(c % 5 == 0, F.concat(F.lit("LA "), w, F.lit(" DE"))).when(c % 7 == 0, F.concat(F.lit("Y "), w)).otherwise(F.concat(F.expr("repeat('CARTA ', int(c % 3))"), w))
+    rows = _base(spark, sf_dir).select(F.col("i").cast("string").alias("issue_id"), F.col("k").alias("idx"), title.alias("title"), (F.col("i") % 9).cast("int").alias("target"))
+    return matching.merge_to_count(rows)
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -641,24 +751,165 @@ def q52_fitted_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.select("p_partkey", sinks.fitted_size(F.col("w"), F.col("h")).alias("s")).select("p_partkey", "s.width", "s.height")
 
 
-CONTENTS = "| Directorio | 2 | — |~| EDITORIAL | 3 | [01](01-editorial.md) |~| LA LOCOMOTORA | 5 | [02](02-la-locomotora.md) |~| LOS BARCOS | ? | [04](04-los-barcos.md) |"
-
-
-@query(f"SELECT 'x' AS issue_id, replace('{CONTENTS}', '~', chr(10)) AS contents")
+@query(f"""
+WITH {LOCATED_SQL} SELECT issue_id, string_agg('| ' || CASE WHEN ord = 0 THEN 'Directorio' ELSE title END || ' | ' || coalesce(CAST(page AS VARCHAR), '?') || ' | ' || CASE WHEN ord = 0 THEN '—' ELSE '[0' || ord || '](0' || ord || '-' || replace(lower(title), ' ', '-') || '.md)' END || ' |', chr(10) ORDER BY ord) AS contents
+FROM e WHERE ord <> 6 GROUP BY issue_id
+""")
 def q53_contents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = spark.createDataFrame([r[:4] for r in LOCATED], "issue_id string, ord int, title string, page int")
-    return sinks.contents_table(entries)
+    return sinks.contents_table(_located(spark, sf_dir))
 
 
-SCRAPED = "x = [ { id: 'serie-1/a' }, // { id:  'serie-2/b.md' }\n { name: 'no' } ]"
+SCRAPED = "x = [ { id: 'serie-1/@' }, // { id:  'serie-2/^.md' }\n { name: 'no' } ]"
 
 
-@query(f"SELECT * FROM {values([(0, 'serie-1/a'), (1, 'serie-2/b.md')], 'v(queue_pos, id)')}")
+@query(f"WITH {BASE_SQL} SELECT queue_pos, CASE queue_pos WHEN 0 THEN 'serie-1/' || w ELSE 'serie-2/' || lower(w) || '.md' END AS id, count(*) AS n FROM b, (VALUES (0), (1)) q(queue_pos) GROUP BY ALL")
 def q54_queue_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return front_matter.queue_ids(spark.createDataFrame([(SCRAPED,)], "text string"))
+    return front_matter.queue_ids(_base(spark, sf_dir).select(_filled([SCRAPED]).alias("text"))).groupBy("queue_pos", "id").agg(F.count("*").alias("n"))
 
 
 @query("SELECT c_custkey, CASE WHEN contains(c_name, '7') THEN c_name END AS found FROM customer WHERE contains(c_name, '7')")
 def q55_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return customer.join(matching.select_or_self(customer, "c_name", "7"), "c_name").select("c_custkey", F.col("c_name").alias("found"))
+
+
+@query(f"""
+WITH {BASE_SQL} SELECT CASE WHEN k = 7 THEN '/x/Especial.docx' ELSE '/x/Vol. ' || c % 40 || ' - Serie ' || k || CASE WHEN c % 5 = 0 THEN ' (Incompleta)' ELSE '' END || '.docx' END AS path,
+  CAST(CASE WHEN k = 7 THEN 0 ELSE c % 40 END AS INT) AS volume, CAST(CASE WHEN k = 7 THEN 0 ELSE k END AS INT) AS series, k <> 7 AND c % 5 = 0 AS incomplete, count(*) AS n FROM b GROUP BY ALL
+""")
+def q56_file_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c = F.col("k"), F.col("c")
+    named = F.concat(F.lit("/x/Vol. "), (c % 40).cast("string"), F.lit(" - Serie "), k.cast("string"), F.when(c % 5 == 0, " (Incompleta)").otherwise(""), F.lit(".docx"))
+    paths = _base(spark, sf_dir).select(F.when(k == 7, "/x/Especial.docx").otherwise(named).alias("path"))
+    return paths.groupBy("path", front_matter.file_meta(F.col("path")).alias("m")).agg(F.count("*").alias("n")).select("path", "m.volume", "m.series", "m.incomplete", "n")
+
+
+COVERS = [('title_es: "@"\nauthor: a"b\nissue_date: 2012-12\n![x](/img/^.webp)\n![y](/img/z.webp)', "@", "", "2012-12", "/img/^.webp"), ('---\ntitle_es: @ dos  \nauthor: "^"\n---\n![x](otra/^.webp)', "@ dos", "^", "", ""), ("nada @", "", "", "", "")]
+
+
+@query(f"WITH {BASE_SQL} SELECT i, k, {', '.join(f'{_filled_sql([x[j] for x in COVERS])} AS {n}' for j, n in ((1, 'title'), (2, 'author'), (3, 'date'), (4, 'image')))} FROM b")
+def q57_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _base(spark, sf_dir).select("i", "k", _filled([x[0] for x in COVERS]).alias("t"))
+    return texts.select("i", "k", front_matter.cover(F.col("t")).alias("c")).select("i", "k", "c.*")
+
+
+@query(f"""
+WITH {BASE_SQL} SELECT i, k, md5(concat_ws(chr(10), '---', 'title_es: "Un \\"' || w || '\\""', 'title_en: ""', 'slug: ' || lower(w), 'series: ' || c % 9, 'volume: ' || k, 'issue_date: ' || CASE WHEN c % 3 = 0 THEN '""' ELSE '2012-12' END, 'author: "Ana"', 'themes: ["' || w || '", "b"]', 'feature_type: editorial',
+  'page_start: ' || k + 3, 'page_end: ' || CASE WHEN k % 3 = 1 THEN CAST(k + 5 AS VARCHAR) ELSE 'null' END, 'image_count: ' || k % 2, 'summary_es: "uno ' || w || '"', 'is_featured: false', 'has_exhibition: false', 'has_audio: false', 'lang_available: [es]', 'review: [' || CASE WHEN c % 3 = 0 THEN 'date-missing' ELSE '' END || ']', '---', '',
+  '# Un "' || w || '"', '', CASE WHEN c % 4 = 0 THEN '_(sin cuerpo)_' ELSE 'Uno.' || chr(10) || chr(10) || w END || CASE WHEN k % 2 = 1 THEN chr(10) || chr(10) || '---' || chr(10) || chr(10) || '<!-- IMÁGENES 1:' || chr(10) || '  - ' || lower(w) || '.png' || chr(10) || '-->' || chr(10) ELSE '' END, '')) AS md5 FROM b
+""")
+def q58_article_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c, w = F.col("k"), F.col("c"), F.col("w")
+    none = F.expr("cast(array() as array<string>)")
+    a = {
+        "title": F.concat(F.lit('Un "'), w, F.lit('"')), "slug": F.lower(w), "series": c % 9, "volume": k, "issue_date": F.when(c % 3 != 0, "2012-12"), "author": F.lit("Ana"), "themes": F.array(w, F.lit("b")), "feature_type": F.lit("editorial"), "page_start": k + 3, "page_end": F.when(k % 3 == 1, k + 5).when(k % 3 == 2, 0),
+        "images": F.when(k % 2 == 1, F.array(F.concat(F.lit("word/media/"), F.lower(w), F.lit(".png")))).otherwise(none), "summary": F.concat(F.lit("uno "), w), "review": F.when(c % 3 == 0, F.array(F.lit("date-missing"))).otherwise(none), "paragraphs": F.when(c % 4 == 0, none).otherwise(F.array(F.lit("Uno."), w)),
+    }
+    return _base(spark, sf_dir).select("i", "k", F.md5(sinks.article_markdown(a).cast("binary")).alias("md5"))
+
+
+@query("""
+SELECT p_partkey, lower(p_type) || '.' || p_partkey || '.png' AS base, lower(p_type) || '.' || p_partkey || '.webp' AS web, 'a' || p_name AS secret, '"' || p_brand || '\\"x"' AS quoted, p_name || '; ' || p_brand AS joined,
+  array_to_string(string_split(p_name || ' ' || p_type || ' fin más', ' ')[1:3], '|') AS lines, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS VARCHAR) ELSE p_size || '–' || p_size + 1 END AS pages FROM part
+""")
+def q59_small_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, size = table(spark, sf_dir, "part"), F.col("p_size")
+    path = F.concat(F.lit("/a/b.c/"), F.lower("p_type"), F.lit("."), F.col("p_partkey").cast("string"), F.lit(".png"))
+    lines = F.slice(text.wrap_words(F.concat_ws(" ", "p_name", "p_type", F.lit("fin más")), 1), 1, 3)
+    return part.select(
+        "p_partkey", text.basename(path).alias("base"), text.with_extension(path, "webp").alias("web"), text.clean_secret(F.concat(F.lit("\u00a0 a\u200b"), F.col("p_name"), F.lit("\ufeff "))).alias("secret"), text.quoted(F.concat("p_brand", F.lit('"x'))).alias("quoted"), text.joined_list(F.array("p_name", "p_brand")).alias("joined"),
+        F.array_join(lines, "|").alias("lines"), publish.page_label(size, size + (F.col("p_partkey") % 2).cast("int")).alias("pages"),
+    )
+
+
+@query(f"WITH {BASE_SQL} SELECT i, k, CASE k % 4 WHEN 0 THEN w WHEN 1 THEN 'Otro ' || w || '|x' WHEN 2 THEN 'BARCO ' || w || '|x' ELSE '' END AS paragraphs FROM b")
+def q60_repeated_subtitle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, w = F.col("k") % 4, F.col("w")
+    paragraphs = F.when(k == 0, F.array(F.concat(F.lit("TREN "), w), w)).when(k == 1, F.array(F.concat(F.lit("Otro "), w), F.lit("x"))).when(k == 2, F.array(F.concat(F.lit("BARCO "), w), F.lit("x"))).otherwise(F.expr("cast(array() as array<string>)"))
+    rows = _base(spark, sf_dir).select("i", F.col("k"), paragraphs.alias("p"), F.concat(F.lit("El tren "), w).alias("t"))
+    return rows.select("i", "k", F.array_join(text.drop_repeated_subtitle(F.col("p"), F.col("t")), "|").alias("paragraphs"))
+
+
+@query(f"WITH {BASE_SQL} SELECT CAST(i AS VARCHAR) AS issue_id, k // 4 AS section, coalesce(string_agg(w || '.png|x.png', '|' ORDER BY k) FILTER (k % 3 = 0), '') AS images FROM b GROUP BY ALL")
+def q61_section_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    images = F.when(k % 3 == 0, F.array(F.concat("w", F.lit(".png")), F.lit("x.png"))).when(k % 3 == 2, F.expr("cast(array() as array<string>)"))
+    blocks = _base(spark, sf_dir).select(F.col("i").cast("string").alias("issue_id"), F.floor(k / 4).cast("int").alias("section"), k.alias("pos"), images.alias("images"))
+    return sequence.section_images(blocks).select("issue_id", "section", F.array_join("images", "|").alias("images"))
+
+
+@query("""
+WITH n AS (SELECT c_custkey, 'Vol. ' || c_custkey || ' - Serie ' || c_nationkey || CASE WHEN c_custkey % 7 = 0 THEN ' (incompleta)' ELSE '' END || '.docx' AS name FROM customer), f AS (SELECT DISTINCT o_custkey FROM orders)
+SELECT 'issue-' || c_custkey AS issue, CASE WHEN c_custkey % 11 <> 0 AND o_custkey IS NOT NULL THEN '/src/' || name END AS file,
+  CASE WHEN c_custkey % 11 = 0 THEN 'no-source' WHEN o_custkey IS NULL THEN 'missing' WHEN c_custkey % 5 = 0 OR c_custkey % 7 = 0 THEN 'incomplete' END AS skipped FROM n LEFT JOIN f ON c_custkey = o_custkey
+""")
+def q62_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issue pages of all customers; those with orders have a source file."""
+    key = F.col("c_custkey")
+    customer = table(spark, sf_dir, "customer").withColumn("name", F.concat(F.lit("Vol. "), key.cast("string"), F.lit(" - Serie "), F.col("c_nationkey").cast("string"), F.when(key % 7 == 0, " (incompleta)").otherwise(""), F.lit(".docx")))
+    page = F.concat(F.lit('---\nsource_file: "'), F.when(key % 11 == 0, "").otherwise(F.col("name")), F.lit('"\nincompleta: '), (key % 5 == 0).cast("string"), F.lit("\n---\n"))
+    pages = customer.select(F.concat(F.lit("issue-"), key.cast("string")).alias("path"), page.alias("text"))
+    files = customer.join(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select(F.concat(F.lit("/src/"), "name").alias("path"))
+    return front_matter.source_files(pages, files)
+
+
+_MONTHS_SQL = _literal(list(dates.MONTHS))
+
+
+@query(f"""
+SELECT c_nationkey AS series, c_custkey AS volume, coalesce(s.told, CASE WHEN c_custkey % 3 <> 0 THEN 2000 + c_custkey % 30 || '-' || lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') END, CASE WHEN c_custkey % 2 = 0 THEN '2015-09' END) AS issue_date
+FROM customer LEFT JOIN (SELECT s_nationkey, s_suppkey, '1999-01' AS told FROM supplier) s ON s_nationkey = c_nationkey AND s_suppkey = c_custkey
+""")
+def q63_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    month = F.element_at(F.array(*map(F.lit, dates.MONTHS)), (key % 12 + 1).cast("int"))
+    header = F.when(key % 3 != 0, F.concat(F.lit("Revista, "), F.upper(month), F.lit(" de "), (2000 + key % 30).cast("string")))
+    issues = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("series"), key.alias("volume"), header.alias("header_date"), F.when(key % 2 == 0, "Setiembre 2015").alias("cover_date"))
+    told = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("series"), F.col("s_suppkey").alias("volume"), F.lit("1999-01").alias("issue_date"))
+    return front_matter.with_overrides(issues, told).select("series", "volume", "issue_date")
+
+
+@query(f"WITH {BASE_SQL} SELECT CAST(i AS VARCHAR) AS issue_id, CASE WHEN k = 7 THEN '/v/portada.md' ELSE '/v/0' || k || '-' || lower(w) || '.md' END AS path, CASE WHEN k NOT IN (3, 7) THEN CAST(10 * k + c % 8 AS INT) END AS loc FROM b")
+def q64_located_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fourth entry of each issue is missing, and the last file has no number."""
+    rows, k = _base(spark, sf_dir).withColumn("issue_id", F.col("i").cast("string")), F.col("k")
+    files = rows.select("issue_id", F.when(k == 7, "/v/portada.md").otherwise(F.concat(F.lit("/v/0"), k.cast("string"), F.lit("-"), F.lower("w"), F.lit(".md"))).alias("path"))
+    entries = rows.where("k != 3").select("issue_id", k.alias("ord"), (10 * k + F.col("c") % 8).cast("int").alias("loc"))
+    return front_matter.located_files(files, entries).select("issue_id", "path", "loc")
+
+
+@query(f"""
+WITH RECURSIVE {FIGURES_SQL}, placed AS (SELECT o.article_id, o.cap_pos, r.file FROM own o LEFT JOIN r ON r.article_id = o.article_id AND r.cap_pos = o.cap_pos)
+SELECT article_id, CASE WHEN count(file) > 0 THEN 'image_count: ' || count(file) ELSE 'image_count: 0' || chr(10) END || string_agg(CASE WHEN file IS NULL THEN '(' || cap_pos || ') Pie ' || cap_pos || ' fin' ELSE '![Pie ' || cap_pos || ' fin](/img/' || replace(file, '.png', '.webp') || ')' END, chr(10) ORDER BY cap_pos) AS edited FROM placed GROUP BY article_id
+""")
+def q65_placed_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count's pattern ends after the blanks behind the number, which a line end counts among."""
+    events = table(spark, sf_dir, "events").where("event_type = 'click'").select(F.expr("event_id div 20").cast("string").alias("article_id"), (F.col("event_id") % 20).cast("int").alias("cap_pos"))
+    caption = F.concat(F.lit("Pie "), F.col("cap_pos").cast("string"), F.lit(" fin"))
+    line = F.concat(F.lit("("), F.col("cap_pos").cast("string"), F.lit(") "), caption)
+    articles = events.withColumn("line", line).groupBy("article_id").agg(F.concat(F.lit("image_count: 0\n"), sequence.ordered_concat(events, [], "cap_pos", "line", "\n")).alias("text"))
+    placed = _claimed(spark, sf_dir)[1].withColumn("caption", caption)
+    return sinks.with_figures(articles, placed).select("article_id", "edited")
+
+
+@query(f"""
+WITH {BASE_SQL} SELECT i, k, concat_ws(' ', CASE WHEN c % 2 = 0 THEN 'author-unconfirmed' END, CASE WHEN c % 3 = 0 THEN 'empty-body' END, CASE WHEN c % 5 = 0 THEN 'theme-guessed' END, CASE WHEN c % 7 = 0 THEN 'date-missing' END, CASE WHEN c % 11 = 0 THEN 'heading-image-only' END) AS review FROM b
+""")
+def q66_review_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, none = F.col("c"), F.expr("cast(array() as array<string>)")
+    one = lambda n: F.when(c % n == 0, F.array(F.lit("x"))).otherwise(none)
+    rows = _base(spark, sf_dir).select("i", "k", (c % 2 == 0).alias("author_unconfirmed"), F.when(c % 3 != 0, F.array(F.lit("x"))).alias("paragraphs"), one(5).alias("themes"), F.when(c % 7 != 0, "2012-12").alias("issue_date"), F.when(c % 11 != 0, F.col("k")).alias("loc"))
+    return quality.review_flags(rows).select("i", "k", F.array_join("review", " ").alias("review"))
+
+
+@query("""
+SELECT CAST(conv_id AS VARCHAR) AS issue_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS pos, md5(CASE WHEN turn % 5 = 4 THEN CAST(turn AS VARCHAR) ELSE replace(text, chr(10), ' ') END) AS md5, CASE WHEN turn % 5 = 4 THEN CAST(turn AS INT) END AS pagenum,
+  CASE WHEN role = 'user' THEN 1 ELSE 0 END AS images FROM conversations
+""")
+def q67_docx_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation as a Word file, a paragraph for each turn, parsed again; a user's turn has an image."""
+    line = F.when(F.col("turn") % 5 == 4, F.col("turn").cast("string")).otherwise(F.replace("text", F.lit("\n"), F.lit(" ")))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", line.alias("line"), (F.col("role") == "user").alias("image")).alias("t"))
+    files = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns")).select(F.col("conv_id").cast("string").alias("path"), docx.packed(F.transform("turns", lambda t: F.struct(t["line"].alias("text"), t["image"].alias("image")))).alias("content"))
+    found = docx.blocks(files)
+    return found.select("issue_id", "pos", F.md5(F.col("text").cast("binary")).alias("md5"), "pagenum", F.size("images").alias("images"))
