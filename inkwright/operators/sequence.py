@@ -82,22 +82,27 @@ def toc_tokens(blocks: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def toc_layout(tokens: DataFrame) -> DataFrame:
-    """issue_id, interleaved: whether the first number comes before the last title."""
-    number, title = F.min(F.when(F.col("kind") == "num", F.col("idx"))), F.max(F.when(F.col("kind") == "title", F.col("idx")))
-    return tokens.groupBy("issue_id").agg(F.coalesce(number < title, F.lit(False)).alias("interleaved"))
+    """tokens with interleaved: whether the issue's first number comes before its last title."""
+    every = Window.partitionBy("issue_id")
+    number, title = F.min(F.when(F.col("kind") == "num", F.col("idx"))).over(every), F.max(F.when(F.col("kind") == "title", F.col("idx"))).over(every)
+    return tokens.withColumn("interleaved", F.coalesce(number < title, F.lit(False)))
+
+
+def toc_entries(tokens: DataFrame) -> DataFrame:
+    """issue_id, ord, title, page of each issue, by its layout."""
+    marked = toc_layout(tokens)
+    return interleaved_entries(marked.where("interleaved").drop("interleaved")).unionByName(block_entries(marked.where("not interleaved").drop("interleaved")))
 
 
 def interleaved_entries(tokens: DataFrame) -> DataFrame:
     """issue_id, ord, title, page: titles up to each number are joined; later ones have no page each."""
     before = Window.partitionBy("issue_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    run = F.coalesce(F.sum((F.col("kind") == "num").cast("int")).over(before), F.lit(0))
-    grouped = tokens.withColumn("run", run)
-    page = F.max("page")
-    closed = grouped.groupBy("issue_id", "run").agg(ordered_concat(grouped, [], "idx", "title").alias("title"), page.alias("page"), F.min("idx").alias("idx"), F.count("title").alias("titles"), F.max((F.col("kind") == "num").cast("int")).alias("closed"))
-    paged = closed.where("closed = 1 and titles > 0").select("issue_id", "idx", "title", "page")
-    open_runs = closed.where("closed = 0").select("issue_id", "run")
-    trailing = grouped.join(open_runs, ["issue_id", "run"], "left_semi").where("kind = 'title'").select("issue_id", "idx", "title", F.lit(None).cast("int").alias("page"))
-    return _numbered(paged.unionByName(trailing))
+    number = (F.col("kind") == "num").cast("int")
+    runs = tokens.withColumn("run", F.coalesce(F.sum(number).over(before), F.lit(0)))
+    closed = F.max(number).over(Window.partitionBy("issue_id", "run")) == 1
+    grouped = runs.withColumn("part", F.when(closed, -1).otherwise(F.col("idx")))
+    rows = grouped.groupBy("issue_id", "run", "part").agg(ordered_concat(grouped, [], "idx", "title").alias("title"), F.max("page").alias("page"), F.min("idx").alias("idx"), F.count("title").alias("titles"))
+    return _numbered(rows.where("titles > 0").select("issue_id", "idx", "title", "page"))
 
 
 def block_entries(tokens: DataFrame) -> DataFrame:
@@ -107,15 +112,15 @@ def block_entries(tokens: DataFrame) -> DataFrame:
     directory, it is put before them.  Titles that outnumber the numbers are to
     be merged first (``matching.merge_to_count``).
     """
-    order = Window.partitionBy("issue_id").orderBy("idx")
-    titles = tokens.where("kind = 'title'").withColumn("k", F.row_number().over(order))
-    pages = tokens.where("kind = 'num'").select("issue_id", "idx", "page").withColumn("k", F.row_number().over(order))
-    counts = tokens.groupBy("issue_id").agg(F.count("title").alias("t"), F.count("page").alias("n"), F.min_by("title", F.when(F.col("kind") == "title", F.col("idx"))).alias("first"))
-    shift = counts.select("issue_id", ((F.col("n") == F.col("t") + 1) & (F.col("t") > 0) & ~text.norm_key(F.col("first")).startswith("directorio")).alias("added"))
-    moved = titles.join(shift, "issue_id").select("issue_id", (F.col("k") + F.col("added").cast("int")).alias("k"), "title")
-    added = shift.where("added").select("issue_id", F.lit(1).alias("k"), F.lit("DIRECTORIO").alias("title"))
-    met = moved.unionByName(added).join(pages.select("issue_id", "k", "page"), ["issue_id", "k"], "left")
-    return met.select("issue_id", (F.col("k") - 1).alias("ord"), "title", "page")
+    every = Window.partitionBy("issue_id")
+    titles, numbers = F.count("title").over(every), F.count("page").over(every)
+    first = F.min(F.when(F.col("kind") == "title", F.struct("idx", "title"))).over(every)["title"]
+    added = F.coalesce((numbers == titles + 1) & (titles > 0) & ~text.norm_key(first).startswith("directorio"), F.lit(False))
+    nth = F.row_number().over(Window.partitionBy("issue_id", "kind").orderBy("idx"))
+    placed = tokens.withColumns({"added": added, "nth": nth}).withColumn("k", F.col("nth") + (F.col("added") & (F.col("kind") == "title")).cast("int"))
+    met = placed.groupBy("issue_id", "k").agg(F.max("title").alias("title"), F.max("page").alias("page"), F.bool_or("added").alias("added"))
+    named = met.withColumn("title", F.when(F.col("added") & (F.col("k") == 1), "DIRECTORIO").otherwise(F.col("title"))).where("title is not null")
+    return named.select("issue_id", (F.col("k") - 1).alias("ord"), "title", "page")
 
 
 def _numbered(entries: DataFrame) -> DataFrame:

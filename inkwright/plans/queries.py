@@ -492,11 +492,7 @@ ENTRIES_SQL = f"""{ISSUE_SQL}, e AS (
 
 def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = _blocks(spark, sf_dir)
-    tokens = sequence.toc_tokens(blocks, sequence.toc_bounds(blocks, "MASTHEAD"))
-    layout = sequence.toc_layout(tokens)
-    mixed = tokens.join(layout.where("interleaved"), "issue_id", "left_semi")
-    apart = tokens.join(layout.where("not interleaved"), "issue_id", "left_semi")
-    return sequence.interleaved_entries(mixed).unionByName(sequence.block_entries(apart))
+    return sequence.toc_entries(sequence.toc_tokens(blocks, sequence.toc_bounds(blocks, "MASTHEAD")))
 
 
 @query(f"WITH {ISSUE_SQL} SELECT DISTINCT issue_id, CAST(style = 0 AS INT) AS start, [20, 17, 18, 15][style + 1] AS end_ FROM t")
