@@ -204,11 +204,11 @@ def drop_image_comments(body: Column) -> Column:
     return F.regexp_replace(body, r"(?s)\n*<!-- IMÁGENES.*?-->\n*", "\n")
 
 
-def set_image_count(header: Column, total: Column) -> Column:
-    """The first image_count line with another number, if that is above 0."""
+def set_image_count(header: Column, total: Column, note: Column | None = None) -> Column:
+    """The first image_count line with another number (and a note behind it), if that is above 0."""
     pattern = F.lit(r"image_count:\s*\d+\s*(#.*)?")
     at, old = F.regexp_instr(header, pattern), F.regexp_substr(header, pattern)
-    new = F.concat(header.substr(F.lit(1), at - 1), F.lit("image_count: "), total.cast("string"), header.substr(at + F.length(old), F.length(header)))
+    new = F.concat(header.substr(F.lit(1), at - 1), F.lit("image_count: "), total.cast("string"), F.lit("") if note is None else note, header.substr(at + F.length(old), F.length(header)))
     return F.when((total > 0) & (at > 0), new).otherwise(header)
 
 

@@ -875,8 +875,12 @@ def q64_located_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH RECURSIVE {FIGURES_SQL}, placed AS (SELECT o.article_id, o.cap_pos, r.file FROM own o LEFT JOIN r ON r.article_id = o.article_id AND r.cap_pos = o.cap_pos)
-SELECT article_id, CASE WHEN count(file) > 0 THEN 'image_count: ' || count(file) ELSE 'image_count: 0' || chr(10) END || string_agg(CASE WHEN file IS NULL THEN '(' || cap_pos || ') Pie ' || cap_pos || ' fin' ELSE '![Pie ' || cap_pos || ' fin](/img/' || replace(file, '.png', '.webp') || ')' END, chr(10) ORDER BY cap_pos) AS edited FROM placed GROUP BY article_id
+WITH RECURSIVE {FIGURES_SQL}, placed AS (SELECT o.article_id, o.cap_pos, r.file FROM own o LEFT JOIN r ON r.article_id = o.article_id AND r.cap_pos = o.cap_pos),
+loose AS (SELECT article_id, file, min(pos) AS pos FROM f WHERE NOT is_caption AND (article_id, file) NOT IN (SELECT (article_id, file) FROM r WHERE file IS NOT NULL) GROUP BY ALL),
+g AS (SELECT article_id, count(*) AS m, string_agg('![](/img/' || article_id || '/' || replace(file, '.png', '.webp') || ')', chr(10) || chr(10) ORDER BY pos) AS images FROM loose GROUP BY article_id),
+c AS (SELECT article_id, count(file) AS n, string_agg(CASE WHEN file IS NULL THEN '(' || cap_pos || ') Pie ' || cap_pos || ' fin' ELSE '![Pie ' || cap_pos || ' fin](/img/' || article_id || '/' || replace(file, '.png', '.webp') || ')' END, chr(10) ORDER BY cap_pos) AS body FROM placed GROUP BY article_id)
+SELECT article_id, CASE WHEN n + coalesce(m, 0) > 0 THEN 'image_count: ' || n + coalesce(m, 0) || '   # ' || n || ' colocadas en el texto, ' || coalesce(m, 0) || ' sueltas al final' ELSE 'image_count: 0' || chr(10) END || body
+  || CASE WHEN m > 0 THEN chr(10) || chr(10) || chr(10) || '{sinks.LOOSE}' || chr(10) || chr(10) || images || chr(10) ELSE '' END AS edited FROM c LEFT JOIN g USING (article_id)
 """)
 def q65_placed_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The count's pattern ends after the blanks behind the number, which a line end counts among."""
@@ -884,8 +888,8 @@ def q65_placed_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     caption = F.concat(F.lit("Pie "), F.col("cap_pos").cast("string"), F.lit(" fin"))
     line = F.concat(F.lit("("), F.col("cap_pos").cast("string"), F.lit(") "), caption)
     articles = events.withColumn("line", line).groupBy("article_id").agg(F.concat(F.lit("image_count: 0\n"), sequence.ordered_concat(events, [], "cap_pos", "line", "\n")).alias("text"))
-    placed = _claimed(spark, sf_dir)[1].withColumn("caption", caption)
-    return sinks.with_figures(articles, placed).select("article_id", "edited")
+    images, claimed = _claimed(spark, sf_dir)
+    return sinks.with_figures(articles, claimed.withColumn("caption", caption), matching.gallery(images, claimed)).select("article_id", "edited")
 
 
 @query(f"""

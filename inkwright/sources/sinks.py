@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,18 +34,57 @@ def article_markdown(a: dict[str, Column]) -> Column:
     return F.concat(head, F.lit("\n"), body, tail, F.lit("\n"))
 
 
-def with_figures(articles: DataFrame, placed: DataFrame, root: str = "/img/") -> DataFrame:
-    """articles (article_id, text: whole files) with their captions replaced by images and the header's count set, as column edited.
+#: Fixed text above the images that no caption claims.
+LOOSE = "<!-- Imágenes sin posición asignada — mueve cada línea al lugar del texto que le corresponda, o bórrala si no aplica. -->"
+
+
+def with_figures(articles: DataFrame, placed: DataFrame, gallery: DataFrame, root: str = "/img/") -> DataFrame:
+    """articles (article_id, text: whole files) with captions replaced by images, loose images at the end and the header's count set, as column edited.
 
-    ``placed`` has article_id, cap_pos, caption, file; a null file leaves its caption
-    as it is.  The input is never overwritten: running it again on ``edited`` finds
-    no captions and changes nothing.
+    ``placed`` has article_id, cap_pos, caption, file (a null file leaves its caption
+    as it is), ``gallery`` article_id, file, first (the order).  The input is never
+    overwritten.
     """
-    item = F.struct("cap_pos", "caption", F.concat(F.lit(root), text.with_extension(F.col("file"), "webp")).alias("path"))
-    own = placed.where("file is not null").groupBy("article_id").agg(F.array_sort(F.collect_list(item)).alias("_placed"))
-    met = articles.join(own, "article_id", "left")
-    body = F.aggregate(F.coalesce("_placed", F.array().cast("array<struct<cap_pos:int,caption:string,path:string>>")), text.drop_image_comments(F.col("text")), lambda t, p: text.place_image(t, p["caption"], p["path"]))
-    return met.withColumn("edited", text.set_image_count(body, F.coalesce(F.size("_placed"), F.lit(0)))).drop("_placed")
+    web = F.concat(F.lit(root), F.col("article_id").cast("string"), F.lit("/"), text.with_extension(F.col("file"), "webp"))
+    own = placed.where("file is not null").groupBy("article_id").agg(F.array_sort(F.collect_list(F.struct("cap_pos", "caption", web.alias("path")))).alias("_placed"))
+    loose = gallery.groupBy("article_id").agg(F.array_sort(F.collect_list(F.struct("first", web.alias("path")))).alias("_loose"))
+    met = articles.join(own, "article_id", "left").join(loose, "article_id", "left")
+
+    def put(state: Column, p: Column) -> Column:
+        after = text.place_image(state["text"], p["caption"], p["path"])
+        return F.struct(after.alias("text"), (state["n"] + (after != state["text"]).cast("int")).alias("n"))
+
+    begin = F.struct(text.drop_image_comments(F.col("text")).alias("text"), F.lit(0).alias("n"))
+    done = met.withColumn("_done", F.when(F.col("_placed").isNull(), begin).otherwise(F.aggregate("_placed", begin, put)))
+    n, more, body = F.col("_done")["n"], F.coalesce(F.size("_loose"), F.lit(0)), F.col("_done")["text"]
+    more = F.when(more > 0, more).otherwise(0)
+    block = F.concat(F.regexp_replace(body, r"\n+\z", ""), F.lit(f"\n\n\n{LOOSE}\n\n"), F.array_join(F.transform("_loose", lambda p: F.concat(F.lit("![]("), p["path"], F.lit(")"))), "\n\n"), F.lit("\n"))
+    note = F.concat(F.lit("   # "), n.cast("string"), F.lit(" colocadas en el texto, "), more.cast("string"), F.lit(" sueltas al final"))
+    return done.withColumn("edited", text.set_image_count(F.when(more > 0, block).otherwise(body), n + more, note)).drop("_placed", "_loose", "_done")
+
+
+def webp(content: Column, longest: int = 1400, quality: int = 82) -> Column:
+    """Images encoded as WebP, the longer side at most ``longest``; needs Pillow on the workers."""
+
+    @F.pandas_udf("binary")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            from PIL import Image
+        except ImportError as e:
+            raise RuntimeError("encoding images needs Pillow") from e
+        for column in batches:
+            out = []
+            for raw in column:
+                image = Image.open(io.BytesIO(raw))
+                side = max(image.size)
+                if side > longest:
+                    image = image.resize(tuple(round(v * longest / side) for v in image.size))
+                held = io.BytesIO()
+                image.save(held, "WEBP", quality=quality)
+                out.append(held.getvalue())
+            yield pd.Series(out)
+
+    return encode(content)
 
 
 def contents_table(entries: DataFrame) -> DataFrame:

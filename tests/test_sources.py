@@ -30,6 +30,13 @@ def test_docx_blocks(spark, tmp_path):
     assert sorted(map(tuple, meta.collect())) == [(0, 0, False), (3, 7, True)]
 
 
+def test_docx_media_and_packed_files(spark):
+    rows = spark.createDataFrame([("a", [("uno & <dos>", True), ("", False), ("7", True)]), ("b", [])], "path string, turns array<struct<text:string,image:boolean>>")
+    files = rows.select("path", docx.packed(F.col("turns")).alias("content"))
+    assert [(r.issue_id, r.pos, r.text, r.pagenum, len(r.images)) for r in docx.blocks(files).orderBy("pos").collect()] == [("a", 0, "uno & <dos>", None, 1), ("a", 1, "", None, 0), ("a", 2, "7", 7, 1)]
+    assert sorted((r.issue_id, r.name, bytes(r.content)) for r in docx.media(files).collect()) == [("a", "word/media/image0.png", b"image 0"), ("a", "word/media/image2.png", b"image 2")]
+
+
 def article(spark):
     row = [('Un "tren"', "un-tren", 6, 2, "2012-12", "Ana", ["Rail"], "editorial", 3, None, ["word/media/a.png"], "uno dos", ["date-missing"], ["Uno.", "Dos."])]
     df = spark.createDataFrame(row, "title string, slug string, series int, volume int, issue_date string, author string, themes array<string>, feature_type string, page_start int, page_end int, images array<string>, summary string, review array<string>, paragraphs array<string>")
