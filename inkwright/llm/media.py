@@ -94,7 +94,7 @@ def write_archives(docs: DataFrame, out: str) -> list[tuple[str, int]]:
             file.close()
             yield pa.RecordBatch.from_pylist([{"uri": uri, "members": n}], schema=pa.schema([("uri", pa.string()), ("members", pa.int64())]))
 
-    return sorted((r.uri, r.members) for r in docs.select("doc_id", "text").mapInArrow(write, "uri string, members long").collect())
+    return sorted((r.uri, r.members) for r in docs.select("doc_id", "text").mapInArrow(W.tidy(write), "uri string, members long").collect())
 
 
 class Range(InputPartition):
@@ -207,4 +207,4 @@ def features(members: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in FEATURES.split(", ")])
 
-    return members.select("name", "payload", "error").mapInArrow(look, FEATURES)
+    return members.select("name", "payload", "error").mapInArrow(W.tidy(look), FEATURES)

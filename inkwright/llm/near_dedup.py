@@ -15,9 +15,10 @@ these leave apart is linked by its differences from one pivot (``_dense``).  So
 no band is compared in all pairs, and every pair that shares a band is compared,
 or in one component, or shown to be no link.
 
-doc_id is to be unique: of rows that share one, each has the component of its own
-text, and one text of a class's smallest doc_id is compared.  Rows without doc_id are never linked, are kept, and their component_id is null.  Null texts count as
-empty; an empty table gives no rows.
+Rows are documents by their own text: of rows that share a doc_id, each has the
+component of its text, whose component_id is the smallest doc_id of all rows in it.
+Rows without doc_id are never linked, are kept, and their component_id is null.
+Null texts count as empty; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwright.llm import components, workspace, words as W
@@ -146,8 +147,13 @@ def plausible(a: np.ndarray, b: np.ndarray, need: list[int]) -> np.ndarray:
     return out
 
 
+def text_key() -> Column:
+    """Tells rows that share a doc_id by their texts."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th")
+
+
 def _sets(documents: DataFrame, width: int, bands: int = BANDS) -> DataFrame:
-    """doc_id, n_shingles, print (16 bytes of the set), signature."""
+    """doc_id, th, n_shingles, print (16 bytes of the set), signature."""
     multipliers = _multipliers(bands * ROWS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,10 +167,10 @@ def _sets(documents: DataFrame, width: int, bands: int = BANDS) -> DataFrame:
                 prints = [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
                 sig = signatures(starts, hashes, multipliers)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(part)).cast(pa.int64()), pa.array(n), pa.array(prints, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc_id", "n_shingles", "print", "signature"]
+                    [batch.column("doc_id").slice(at, len(part)).cast(pa.int64()), batch.column("th").slice(at, len(part)), pa.array(n), pa.array(prints, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc_id", "th", "n_shingles", "print", "signature"]
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(read, "doc_id long, n_shingles long, print binary, signature binary")
+    return documents.select("doc_id", "text", text_key()).mapInArrow(W.tidy(read), "doc_id long, th long, n_shingles long, print binary, signature binary")
 
 
 def _bands(classes: DataFrame, bands: int) -> DataFrame:
@@ -185,7 +191,7 @@ def _bands(classes: DataFrame, bands: int) -> DataFrame:
             ids = np.repeat(b.column("id").to_numpy(), bands)
             yield pa.RecordBatch.from_arrays([pa.array(out.ravel().view(np.int64)), pa.array(ids)], names=["band", "id"])
 
-    return classes.select("id", "signature").mapInArrow(cut, "band long, id long")
+    return classes.select("id", "signature").mapInArrow(W.tidy(cut), "band long, id long")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
@@ -202,36 +208,36 @@ def _verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, scratc
                 yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(fits)), b.column("b").filter(pa.array(fits))], names=["a", "b"])
 
     side = lambda k: classes.select(F.col("id").alias(k), F.col("signature").alias(f"s{k}"), F.col("n_shingles").alias(f"n{k}"))
-    left = scratch.table(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInArrow(prune, "a long, b long"), "survivors")
+    left = scratch.table(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "na", "nb").mapInArrow(W.tidy(prune), "a long, b long"), "survivors")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = W.Memo(hash_words, MEMO)
         for b in batches:
-            if not b.num_rows:
-                continue
-            keep = np.zeros(b.num_rows, bool)
             ta, tb = W.texts(b.column("ta")), W.texts(b.column("tb"))
-            step = 256
-            for at in range(0, b.num_rows, step):
-                sa, ha = distinct(*shingles(ta.slice(at, step), width, memo))
-                sb, hb = distinct(*shingles(tb.slice(at, step), width, memo))
-                for i in range(len(sa) - 1):
+            for at, part in W.slices(ta, SLICE, tb):
+                sa, ha = distinct(*shingles(part, width, memo))
+                sb, hb = distinct(*shingles(tb.slice(at, len(part)), width, memo))
+                keep = np.zeros(len(part), bool)
+                for i in range(len(part)):
                     x, y = ha[sa[i] : sa[i + 1]], hb[sb[i] : sb[i + 1]]
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[at + i] = 0 < 100 * both >= percent * (len(x) + len(y) - both)
-            keep = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
+                    keep[i] = 0 < 100 * both >= percent * (len(x) + len(y) - both)
+                yield pa.RecordBatch.from_arrays([b.column(c).slice(at, len(part)).filter(pa.array(keep)) for c in "ab"], names=["a", "b"])
 
-    texts = _texts(documents, left.select(F.col("a").alias("id")).union(left.select("b")).distinct(), scratch)
+    texts = _texts(documents, classes, left.select(F.col("a").alias("id")).union(left.select("b")).distinct(), scratch)
     both = left.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    return scratch.table(both.select("a", "b", "ta", "tb").mapInArrow(exact, "a long, b long"), "verified")
+    return scratch.table(both.select("a", "b", "ta", "tb").mapInArrow(W.tidy(exact), "a long, b long"), "verified")
 
 
-def _texts(documents: DataFrame, ids: DataFrame, scratch: workspace.Scratch) -> DataFrame:
-    """(id, text) of some classes, by their smallest doc_id."""
-    wanted = scratch.table(ids, "wanted")
-    texts = documents.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text").join(workspace.small_side(wanted, 16), "id", "left_semi")
-    return scratch.table(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+def _texts(documents: DataFrame, classes: DataFrame, ids: DataFrame, scratch: workspace.Scratch) -> DataFrame:
+    """(id, text) of some classes, each with the text of its smallest doc_id."""
+    wanted = scratch.table(ids.join(classes.select("id", F.col("doc_id").alias("_doc"), F.col("th").alias("_th")), "id"), "wanted")
+    rows = documents.select("doc_id", "text", text_key())
+    met = rows.join(workspace.small_side(wanted, 32), (rows["doc_id"] == F.col("_doc")) & (rows["th"] == F.col("_th"))).select("id", "text")
+    texts = scratch.table(met, "texts")
+    if texts.count() > wanted.count():  # rows that repeat a doc_id and text
+        texts = scratch.table(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+    return texts
 
 
 def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -270,7 +276,7 @@ def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in added]))).astype(np.int32), np.concatenate(added))
                 yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("cluster", "id", "root", "n", "pivot", "pn")), pa.array(linked), pa.array(bare), pa.array(need, pa.int64()), lists], names=["cluster", "id", "root", "n", "pivot", "pn", "linked", "bare", "need", "added"])
 
-    return rows.select("cluster", "id", "root", "n", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(differ, "cluster long, id long, root long, n long, pivot long, pn long, linked boolean, bare boolean, need long, added array<long>")
+    return rows.select("cluster", "id", "root", "n", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(W.tidy(differ), "cluster long, id long, root long, n long, pivot long, pn long, linked boolean, bare boolean, need long, added array<long>")
 
 
 def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
@@ -307,7 +313,7 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
         first = F.when(F.col("root") == F.col("cluster"), F.struct("n", "id"))
         pivots = scratch.table(own.groupBy("cluster").agg(F.min(first).alias("p"), F.min("n").alias("least")).select("cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"), "least"), "pivots")
         if texts is None:
-            texts = _texts(documents, own.select("id").distinct(), scratch)  # later turns have no other members
+            texts = _texts(documents, classes, own.select("id").distinct(), scratch)  # later turns have no other members
         of = scratch.table(pivots.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot"), "pivots")
         total = of.agg(F.coalesce(F.sum(F.octet_length("pivot_text") + 48), F.lit(0)).alias("n")).first().n
         met = own.join(F.broadcast(of) if total <= workspace.BROADCAST_BYTES else of, "cluster").where("id != pivot").join(texts, "id")
@@ -330,39 +336,47 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
         work, turn = scratch.table(again.unionByName(small), "work"), turn + 1
 
 
+def _components(documents: DataFrame, width: int, percent: int, scratch: workspace.Scratch) -> DataFrame:
+    """One row per document: doc_id, th, n_shingles, component_id."""
+    n_bands = bands_for(percent / 100)
+    sets = scratch.table(_sets(documents, width, n_bands), "sets")
+    known = sets.where("doc_id is not null")
+    first = F.min(F.struct("doc_id", "th", "n_shingles", "signature")).alias("r")
+    classes = known.where("n_shingles > 0").groupBy("print").agg(first, F.count("*").alias("rows"))
+    # a class has a number of its own, for rows of several classes may share a doc_id
+    classes = scratch.table(classes.select("print", "r.*", "rows").withColumn("id", F.monotonically_increasing_id()), "classes")
+    bands = _bands(classes, n_bands)
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = scratch.table(bands.join(shared, "band").select("band", "id", "n"), "bands")
+    few, many = members.where(F.col("n") <= ALL_PAIRS), members.where(F.col("n") > ALL_PAIRS)
+    pairs = few.select("band", F.col("id").alias("a")).join(few.select("band", F.col("id").alias("b")), "band").where("a < b").select("a", "b").distinct()
+    verify = lambda found: _verified(found, classes, documents, scratch, width, percent)
+    links = verify(scratch.table(pairs, "pairs"))
+    if not many.isEmpty():
+        rest = lambda groups: _dense(groups, classes, documents, verify, scratch, width, percent)
+        links = components.link_large(many.select("band", "id"), links, verify, scratch, rounds=1, rest=rest)
+    roots = components.components(links, scratch)
+    named = scratch.table(roots.join(classes.select(F.col("id").alias("node"), "doc_id"), "node"), "named")
+    least = scratch.table(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
+    linked = scratch.table(named.join(workspace.small_side(least, 24), "root").select(F.col("node").alias("id"), "component_id"), "linked")
+    # copies take their class's component; classes of one row that are in no link keep their doc_id
+    moved = classes.select("print", "id", "doc_id", "rows").join(workspace.small_side(linked, 24), "id", "left").where("rows > 1 or component_id is not null")
+    moved = scratch.table(moved.select("print", F.coalesce("component_id", "doc_id").alias("component_id")), "moved")
+    found = known.join(workspace.small_side(moved, 48), "print", "left").select("doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.unionByName(sets.where("doc_id is null").select("doc_id", "th", "n_shingles", F.lit(None).cast("long").alias("component_id")))
+
+
 def near_dedup(documents: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
-    spark = documents.sparkSession
-    with workspace.Scratch(spark) as scratch:
-        n_bands = bands_for(percent / 100)
-        sets = scratch.table(_sets(documents, width, n_bands), "sets")
-        known = sets.where("doc_id is not null")
-        class_of = scratch.table(
-            known.where("n_shingles > 0").groupBy("print").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("r"), F.count("*").alias("rows")).select("print", F.col("r.doc_id").alias("id"), F.col("r.n_shingles").alias("n_shingles"), F.col("r.signature").alias("signature")),
-            "classes",
-        )
-        classes = class_of.groupBy("id").agg(F.min_by(F.struct("n_shingles", "signature"), F.col("print")).alias("r")).select("id", "r.*")
-        classes = scratch.table(classes, "nodes")
-        bands = _bands(classes, n_bands)
-        shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-        members = scratch.table(bands.join(shared, "band").select("band", "id", "n"), "bands")
-        few, many = members.where(F.col("n") <= ALL_PAIRS), members.where(F.col("n") > ALL_PAIRS)
-        pairs = few.select("band", F.col("id").alias("a")).join(few.select("band", F.col("id").alias("b")), "band").where("a < b").select("a", "b").distinct()
-        verify = lambda found: _verified(found, classes, documents, scratch, width, percent)
-        links = verify(scratch.table(pairs, "pairs"))
-        if not many.isEmpty():
-            rest = lambda groups: _dense(groups, classes, documents, verify, scratch, width, percent)
-            links = components.link_large(many.select("band", "id"), links, verify, scratch, rounds=1, rest=rest)
-        roots = components.components(links, scratch)
-        # copies take their class's component; they are in no link
-        of_class = class_of.select("print", "id").join(workspace.small_side(roots.withColumnRenamed("node", "id"), 24), "id", "left").select("print", F.coalesce("root", "id").alias("root"))
-        found = known.join(workspace.small_side(scratch.table(of_class, "roots"), 48), "print", "left")
-        out = found.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
-        out = out.unionByName(sets.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    with workspace.Scratch(documents.sparkSession) as scratch:
+        out = _components(documents, width, percent, scratch).drop("th")
         return scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def drop_near_copies(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
     """docs, all columns, with one document of each component."""
-    gone = near_dedup(docs, width, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(workspace.small_side(gone, 16), "doc_id", "left_anti").select(*docs.columns)
+    with workspace.Scratch(docs.sparkSession) as scratch:
+        found = _components(docs, width, percent, scratch)
+        gone = scratch.keep(found.where("doc_id != component_id").select(F.col("doc_id").alias("__iw_id"), F.col("th").alias("__iw_th")).distinct())
+    tagged = docs.withColumn("__iw_own", text_key())
+    return tagged.join(workspace.small_side(gone, 24), (F.col("doc_id") == F.col("__iw_id")) & (F.col("__iw_own") == F.col("__iw_th")), "left_anti").select(*docs.columns)

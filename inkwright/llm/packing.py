@@ -169,7 +169,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int) -> DataF
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(W.tidy(cut, keeps=True), PIECES)
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
@@ -194,4 +194,4 @@ def best_fit_packing(docs: DataFrame, capacity: int = 4096, tokenizer: str | Non
                     yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequence), pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
         ranked = cut.join(bases, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
-        return scratch.keep(ranked.mapInArrow(put, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"))
+        return scratch.keep(ranked.mapInArrow(W.tidy(put, keeps=True), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"))

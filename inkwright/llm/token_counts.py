@@ -1,17 +1,21 @@
 """Token counts by prefix dynamic programming.
 
 A text's count at a prefix is its count at the last word end before it plus the
-count of the started word: the table is filled from left to right, one addition
-for each prefix, and each distinct started word is encoded once.  The table
-answers how many tokens any prefix has and how long a prefix a budget allows,
-without encoding the text again.
-
+count of the started word.  Counts at word ends are one addition for each word,
+each distinct word being encoded once; within a word, ``tokens.Prefixes`` fills a
+table of the counts of all its prefixes, from left to right, each from a shorter
+prefix at most one token back.  The table answers how many tokens any prefix has
+and how long a prefix a budget allows, without encoding the text again, whatever
+the length of its words.
+
+Prefixes are counted in characters of the text in NFC, the form that is encoded.
 Null texts count as empty.  Rows pass through as they are: repeated rows and
 rows without doc_id each get their own result; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,88 +23,68 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from inkwright.llm import tokens, words as W
+from inkwright.llm import tokens, words as W, workspace
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long, fit_tokens long"
+WORD = re.compile("[^\x20\x09-\x0D]+")
 
 
 class PrefixCounts:
-    """Exact token counts of every prefix of one text, by its length in characters.
-
-    The table is kept as the count at each word end and, for the characters
-    within a word, differences from it: small numbers, for a word has few tokens.
-    """
+    """Exact token counts of every prefix of one text, by its length in characters of the text in NFC."""
 
     def __init__(self, text: str, codec: tokens.Codec):
         if not codec.by_word:
             raise ValueError("prefix counts need a tokenizer that never joins across white space")
-        n, before = len(text), 0
-        self.base = np.zeros(n + 1, np.int64)
-        self.within = np.zeros(n + 1, np.int16)
-        at = 0
-        for word in _runs(text):
-            start = text.index(word, at)
-            self.base[at : start + 1] = before
-            counts = _started(word, codec)
-            self.base[start : start + len(word) + 1] = before
-            self.within[start : start + len(word) + 1] = counts
-            before += int(counts[-1])
-            at = start + len(word)
-            self.within[at], self.base[at] = 0, before
-        self.base[at:] = before
+        text = tokens.normal(text)
+        self.counts = np.zeros(len(text) + 1, np.int64)
+        before = at = 0
+        for m in WORD.finditer(text):
+            self.counts[at : m.start()] = before
+            self.counts[m.start() : m.end() + 1] = before + codec.prefixes.counts(m.group())
+            before, at = int(self.counts[m.end()]), m.end()
+        self.counts[at:] = before
 
     def count(self, chars: int) -> int:
         """Tokens of the first chars characters."""
-        return int(self.base[chars] + self.within[chars])
+        return int(self.counts[chars])
 
     def fit(self, budget: int) -> int:
         """The longest prefix, in characters, that has at most budget tokens."""
-        fits = np.flatnonzero(self.base + self.within <= budget)
+        fits = np.flatnonzero(self.counts <= budget)
         return int(fits[-1]) if fits.size else 0
 
 
-def _runs(text: str) -> list[str]:
-    return [w.decode() for w in text.encode().split()]
-
-
-def _started(word: str, codec: tokens.Codec) -> np.ndarray:
-    """Counts of word[:0], word[:1], ..., word."""
-    starts, _ = codec.encode(pa.array([word[:k] for k in range(len(word) + 1)], pa.large_string()))
-    return np.diff(starts)
-
-
 def _fit(text: str, before: np.ndarray, budget: int, codec: tokens.Codec) -> tuple[int, int]:
     """(characters, tokens) of the longest prefix within budget, from the counts before each word and after the last.
 
     Counts at word ends never fall, so the answer lies in the first word that
-    passes the budget, or before it.
+    passes the budget, or before it.  Of that word no more characters are looked
+    at than the tokens that are left can cover.
     """
     k = int(np.searchsorted(before, budget, side="right")) - 1  # words that fit whole
-    at = 0
     raw = text.encode()
-    spans = _spans(raw)
-    start, end = spans[k]
-    word = raw[start:end].decode()
-    counts = _started(word, codec)
-    fits = np.flatnonzero(before[k] + counts <= budget)
-    j = int(fits[-1])
-    at = len(raw[:start].decode()) + j
-    return at, int(before[k] + counts[j])
-
-
-def _spans(raw: bytes) -> np.ndarray:
-    """(start, end) of each word in bytes."""
+    start, end = _span(raw, k)
+    room = budget - int(before[k])
+    head = raw[start : min(end, start + (room + 1) * codec.prefixes.longest)].decode(errors="ignore")
+    counts = codec.prefixes.counts(head)
+    j = int(np.flatnonzero(counts <= room)[-1])
+    return len(raw[:start].decode()) + j, int(before[k] + counts[j])
+
+
+def _span(raw: bytes, k: int) -> tuple[int, int]:
+    """(start, end) of the k-th word in bytes."""
     b = np.frombuffer(raw, np.uint8)
     word = ~((b == 32) | ((b >= 9) & (b <= 13)))
     edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
-    return np.stack((np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)), 1)
+    return int(np.flatnonzero(edge == 1)[k]), int(np.flatnonzero(edge == -1)[k])
 
 
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 2048) -> DataFrame:
     """One row per document: n_bytes (UTF-8), n_tokens, whether they pass limit, and the longest prefix within it.
 
-    fit_chars and fit_tokens are that prefix's length in characters and its count
-    (null for a long text of a tokenizer that joins across white space).
+    fit_chars and fit_tokens are that prefix's length in characters (of the text in
+    NFC) and its count (null for a long text of a tokenizer that joins across
+    white space).
     """
     path = tokenizer or tokens.default_path()
 
@@ -116,17 +100,16 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 204
                 else:
                     starts, _ = codec.encode(part)
                     total, before = np.diff(starts), None
-                chars, fit = pc.utf8_length(part).to_numpy(zero_copy_only=False).astype(np.int64), total.copy()
+                chars, fit = pc.utf8_length(pc.utf8_normalize(part, form="NFC")).to_numpy(zero_copy_only=False).astype(np.int64), total.copy()
                 for i in np.flatnonzero(total > limit):
-                    whole = part[int(i)].as_py()
                     if before is None:
                         chars[i] = fit[i] = -1
                     else:
                         own = before[starts[i] : starts[i + 1] + 1]
-                        chars[i], fit[i] = _fit(whole, own - own[0], limit, codec)
+                        chars[i], fit[i] = _fit(tokens.normal(part[int(i)].as_py()), own - own[0], limit, codec)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, len(part)).cast(pa.int64()), *(pa.array(x.astype(np.int64)) for x in (size, total)), pa.array(total > limit), *(pa.array(x, mask=x < 0) for x in (chars, fit))],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "fit_tokens"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(count, SCHEMA)
+    return workspace.bounded(docs).select("doc_id", "text").mapInArrow(W.tidy(count, keeps=True), SCHEMA)

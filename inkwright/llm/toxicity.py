@@ -12,7 +12,8 @@ hash of their doc_id), whose whole texts count; of their words the ``FEATURES``
 most associated with each category become features.  Scoring reads every text
 whole and has no other limit: a model is a few hundred weights by word hash.
 
-Null texts count as empty.  Labels that are null or have no document are left
+Null texts count as empty.  Of several texts of a labelled doc_id, the one with the
+least hash is fitted.  Labels that are null or have no document are left
 out; a category whose labels are all alike gets a constant.  Rows keep their
 order of columns, repeated rows are scored alike; an empty table gives no rows.
 """
@@ -147,12 +148,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
                     found, names = _distinct_words(part)
                     of = memo.of(names)
                     lists = [sorted({f for i in set(found.index[a:b].tolist()) for f in of[i]}) for a, b in zip(found.starts[:-1], found.starts[1:], strict=True)]
-                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, len(part)) for c in ("doc_id", *categories)), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", *categories, "features"])
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, len(part)) for c in ("doc_id", *categories)), pa.array(lists, pa.list_(pa.int64())), batch.column("th").slice(at, len(part))], names=["doc_id", *categories, "features", "th"])
 
         # at most ``sample`` small rows are broadcast
-        labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", *categories)
-        rows = scratch.table(labelled.mapInArrow(read, f"doc_id long, {', '.join(f'`{c}` int' for c in categories)}, features array<long>"), "features").dropDuplicates(["doc_id"])
-        rows = scratch.table(rows, "rows")
+        labelled = docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "th", *categories)
+        rows = scratch.table(labelled.mapInArrow(W.tidy(read), f"doc_id long, {', '.join(f'`{c}` int' for c in categories)}, features array<long>, th long"), "features")
+        rows = scratch.table(rows.groupBy("doc_id", *categories).agg(F.min(F.struct("th", "features")).alias("r")).select("doc_id", *categories, "r.features"), "rows")
         total = rows.agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in categories)).first()
         if not total.n:
             return Chain([Link(c, -8.0, {}, [0.0] * k) for k, c in enumerate(categories)], 0.5)
@@ -237,7 +238,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
                 p = of(part)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)).cast(pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in p.T), pa.array(p[:, -1] >= chain.threshold)], names=["doc_id", *(f"p_{c}" for c in names), "toxic"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {', '.join(f'`p_{c}` double' for c in names)}, toxic boolean")
+    return workspace.bounded(docs).select("doc_id", "text").mapInArrow(W.tidy(run), f"doc_id long, {', '.join(f'`p_{c}` double' for c in names)}, toxic boolean")
 
 
 def drop_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -250,10 +251,14 @@ def drop_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
             for at, part in W.slices(text):
                 yield batch.slice(at, len(part)).filter(pa.array(of(part)[:, -1] < chain.threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return workspace.bounded(docs).mapInArrow(W.tidy(run), docs.schema)
 
 
-def by_language(docs: DataFrame, labels: DataFrame, most: int = 8) -> tuple[DataFrame, list[str]]:
+#: Languages that are categories of their own; toxic documents of others count in the last category alone.
+LANGUAGES = 8
+
+
+def by_language(docs: DataFrame, labels: DataFrame, most: int = LANGUAGES) -> tuple[DataFrame, list[str]]:
     """Labels (doc_id, toxic) as categories: toxic in each of the most frequent labelled languages, then toxic at all.
 
     The language is the document's own; the categories' order is that of their names, with ``toxic`` last.

@@ -6,13 +6,14 @@ numbered by Arrow's kernels; Python sees each distinct word of a slice once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -22,9 +23,9 @@ def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """(first row, rows) with at most limit bytes, or one row."""
-    ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False), dtype=np.int64)
+def slices(text: pa.Array, limit: int = SLICE_BYTES, *beside: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) with at most limit bytes, those of the columns beside counted, or one row."""
+    ends = np.cumsum(sum(pc.binary_length(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (text, *beside)), dtype=np.int64)
     at = 0
     while at < len(text):
         before = ends[at - 1] if at else 0
@@ -57,7 +58,7 @@ def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Memo(dict):
     """Values by word, computed for all new words at once and held up to a number of entries."""
 
-    def __init__(self, compute, most: int = 400_000):
+    def __init__(self, compute, most: int = 150_000):
         self.compute, self.most = compute, most
 
     def of(self, words: list) -> list:
@@ -68,3 +69,34 @@ class Memo(dict):
                 new = words
             self.update(zip(new, self.compute(new), strict=True))
         return [self[w] for w in words]
+
+
+#: What a worker keeps from task to task for those operators that use it again.
+KEPT: dict = {}
+#: Tasks that read so many bytes give memory back; smaller ones took little.
+TIDY_BYTES = 4 << 20
+
+
+def tidy(run: Callable[[Iterator], Iterator], keeps: bool = False) -> Callable[[Iterator], Iterator]:
+    """run, for mapInArrow: unless it keeps what is ``KEPT``, that goes first; after much data the worker gives its free memory back."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        if not keeps:
+            KEPT.clear()
+        read = 0
+
+        def counted() -> Iterator:
+            nonlocal read
+            for batch in batches:
+                read += batch.nbytes
+                yield batch
+
+        yield from run(counted())
+        if read >= TIDY_BYTES:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
+
+    return tidied

@@ -18,17 +18,29 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where none is set (tests)."""
+    """The cluster's shared folder; a folder of our own only where none is set and one machine runs everything (tests)."""
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return os.path.dirname(held.get().rstrip("/"))
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="inkwright-")
     spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+#: Texts go to Python in Arrow batches of at most so many bytes.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, to be read by Python: from now on this session's batches of whole texts are small, whenever df is computed."""
+    df.sparkSession.conf.set(*ARROW_BYTES)
+    return df
+
+
 class Scratch:
     """``with Scratch(spark) as s``: tables and files of one operator call, removed at its end."""
 
@@ -38,6 +50,7 @@ class Scratch:
         self.made = 0
 
     def __enter__(self) -> Scratch:
+        self.spark.conf.set(*ARROW_BYTES)
         return self
 
     def __exit__(self, *_) -> None:
@@ -49,10 +62,10 @@ class Scratch:
         self.made += 1
         return f"{self.root}/{self.made:03d}-{name}"
 
-    def table(self, df: DataFrame, name: str = "table") -> DataFrame:
+    def table(self, df: DataFrame, name: str = "table", compression: str = "snappy") -> DataFrame:
         """Writes df as Parquet and returns the table read back: its lineage starts at the files."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def keep(self, df: DataFrame) -> DataFrame:
