@@ -2,9 +2,11 @@
 
 Kiveris et al., 2014: every node's larger neighbours are linked to its smallest
 one, then its smaller ones likewise, until each component is a star around its
-smallest node.  A node's smallest neighbour comes from a pre-aggregated minimum,
-so a node with very many links is spread like any other; each step's links are
-a written table, so neither lineage nor driver memory grows.
+smallest node.  A node's smallest neighbour comes from a pre-aggregated minimum;
+these minima, no more than two a link, are broadcast where the counted links prove
+them small, else they are a table of their own, so that Spark can split the links of
+a node that has very many.  Each step's links are a written table, so neither
+lineage nor driver memory grows.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ def components(links: DataFrame, scratch: workspace.Scratch, most_rounds: int =
     """Rows (node, root) of links (a, b): each linked node and the smallest it can reach. Nodes without links have none."""
     star, state = _written(_oriented(links).distinct(), scratch)
     for _ in range(most_rounds if state[0] else 0):
-        star, now = _written(_small(_large(star)), scratch)
+        star, now = _written(_small(_large(star, state[0], scratch), state[0], scratch), scratch)
         if now == state:
             break
         state = now
@@ -44,19 +46,28 @@ def _oriented(links: DataFrame) -> DataFrame:
     return links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
-def _large(star: DataFrame) -> DataFrame:
-    both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
+def _minima(least: DataFrame, links: int, scratch: workspace.Scratch) -> DataFrame:
+    """A row for each node of so many links, as a side of a join with them."""
+    return F.broadcast(least) if 2 * links * NODE_BYTES <= workspace.BROADCAST_BYTES else scratch.table(least, "least")
 
 
-def _small(star: DataFrame) -> DataFrame:
+def _large(star: DataFrame, links: int, scratch: workspace.Scratch) -> DataFrame:
+    """Each link's smaller node gives way to its own smallest neighbour; where it has no smaller one, the link stays."""
+    least = star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+    return star.join(_minima(least, links, scratch), star["b"] == F.col("node"), "left").select("a", F.coalesce("m", "b").alias("b")).where("a != b")
+
+
+def _small(star: DataFrame, links: int, scratch: workspace.Scratch) -> DataFrame:
+    """Nodes with several smaller neighbours link these to the smallest one and keep that one."""
     down = _oriented(star)
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    several = _minima(least.where("n > 1").select("a", "m"), links, scratch)
+    moved = down.join(several, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _oriented(moved).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+#: A node and its minimum, at most (binary ids take 16 bytes and their headers).
+NODE_BYTES = 64
 PIVOTS = 4
 ROUNDS = 2
 
