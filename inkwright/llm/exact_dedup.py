@@ -164,8 +164,9 @@ def exact_dedup(docs: DataFrame, is_new: Column | None = None) -> DataFrame:
         # a row for each doc_id and text, with the number of such rows
         ids = scratch.table(digests.groupBy("digest", "doc_id", "is_new").agg(F.count("*").alias("n")), "ids")
         sides = scratch.table(ids.groupBy("digest", "is_new").agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("n"), F.count("*").alias("ids")), "sides")
-        known = sides.where("not is_new").count()
-        buckets = max(1, -(-known // BUCKET_KEYS))
+        # as many buckets as the larger side needs, so that a large batch meets a small snapshot in many tasks
+        counts = {r.is_new: r.n for r in sides.groupBy("is_new").agg(F.count("*").alias("n")).collect()}
+        buckets = max(1, -(-max(counts.values(), default=0) // BUCKET_KEYS))
         bucket = F.pmod(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), F.lit(buckets)).alias("bucket")
         sides = sides.select("*", bucket)
         snapshot, batch = sides.where("not is_new"), sides.where("is_new")
@@ -199,7 +200,8 @@ def compare(rows: DataFrame, groups: DataFrame, scratch: workspace.Scratch) -> N
     """Holds each text of a group against the group's first, byte by byte; raises if they differ (a SHA-256 collision)."""
     texts = rows.select("doc_id", normal(F.col("text")).alias("own"), digest(F.col("text")).alias("digest"))
     members = texts.join(workspace.small_side(groups.select("digest", "keep_id"), 56), "digest")
-    first = members.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.first("own").alias("first"))
+    # a table of its own: beside it, the members of a group with very many copies can be split among tasks
+    first = scratch.table(members.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("own").alias("first")), "first")
     wrong = members.join(first, "digest").where("own != first").select("doc_id").take(1)
     if wrong:
         raise RuntimeError(f"the text of document {wrong[0].doc_id} has the digest of another text")
