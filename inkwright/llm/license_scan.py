@@ -5,7 +5,8 @@ Texts are cut into words (A-Z lowered, signs at the ends dropped) and runs of
 two that it holds, one beginning at each run.  Documents are cut into windows of
 the same lengths that begin every eighth of a window (every run, for short
 ones), so an unbroken copy of a template has windows equal to the template's
-own.  Windows whose MinHash signatures agree in a band retrieve the template.
+own.  Windows whose MinHash signatures agree in a band retrieve the template; those
+without a run of any template can't agree and aren't signed.
 Bands are as many as make a window of similarity ``similarity``, or of the lesser
 one that ``containment`` implies (``window_similarity``), collide with probability
 1 - ``miss`` (``bands_for``).  Texts with fewer runs than a window are looked at whole.  Around each retrieved window the share
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
-from inkwright.llm import words as W
+from inkwright.llm import words as W, workspace
 
 WIDTH = 5
 ROWS = 2
@@ -109,6 +110,9 @@ class Index:
         if short := [n for n, a, b in zip(self.names, starts[:-1], starts[1:], strict=True) if a == b]:
             raise ValueError(f"templates need {WIDTH} words: {short}")
         self.sets = [np.unique(hashes[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        self.any = np.unique(hashes)
+        self.low = np.zeros(1 << 16, bool)  # by the last 16 bits, for a first look
+        self.low[(self.any & np.uint64(0xFFFF)).astype(np.int64)] = True
         self.length = np.diff(starts)
         self.words = np.diff(words)
         self.size = 1 << (np.log2(self.length).astype(int))
@@ -152,23 +156,37 @@ def _slide(h: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+def _stretches(known: np.ndarray, size: int, step: int, total: int) -> list[tuple[int, int]]:
+    """(first, end) of the beginnings of windows, a multiple of step each, that hold one of the known places at least, joined where they meet."""
+    last = (total - size) // step * step
+    if last < 0 or not known.size:
+        return []
+    low = np.minimum(np.maximum(known - size + 1, 0) + step - 1, total) // step * step
+    high = np.minimum(known // step * step, last)
+    fits = low <= high
+    low, high = low[fits], high[fits]
+    if not low.size:
+        return []
+    new = np.flatnonzero(np.concatenate(([True], low[1:] > high[:-1] + step)))
+    return list(zip(low[new].tolist(), (high[np.append(new[1:] - 1, len(high) - 1)] + 1).tolist(), strict=True))
+
+
 def _look(index: Index, starts: np.ndarray, hashes: np.ndarray, containment: float) -> list[tuple[int, int, int, int, float]]:
     """(text, template, first run, runs, containment) of the matches in the texts of a slice."""
     found: set[tuple[int, int, int]] = set()
+    # a window that holds no run of any template has no minimum in common with theirs, so only stretches around such runs have windows to sign
+    known = np.flatnonzero(index.low[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
+    known = known[np.isin(hashes[known], index.any)]
     for size, (keys, own) in index.levels.items():
         step = max(1, size // 8)
-        if len(hashes) < size:
-            continue
-        first = np.arange(0, len(hashes) - size + 1, step)
-        for lo in range(0, len(first), 1 << 16):
-            part = first[lo : lo + (1 << 16)]
-            base = int(part[0])
-            sig = index.signatures(hashes[base : int(part[-1]) + size], part - base, size)
+        for low, high in _stretches(known, size, step, len(hashes)):
+            first = np.arange(low, high, step)
+            sig = index.signatures(hashes[low : int(first[-1]) + size], first - low, size)
             hit = np.flatnonzero(np.isin(sig, keys).any(1))
             for w in hit.tolist():
                 for key in sig[w]:
                     for t in own[np.searchsorted(keys, key, "left") : np.searchsorted(keys, key, "right")].tolist():
-                        found.add((t, int(part[w]), size))
+                        found.add((t, int(first[w]), size))
     # texts with fewer runs than the window are looked at whole
     n = np.diff(starts)
     for t, size in enumerate(index.size.tolist()):
@@ -218,4 +236,4 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
                     rows.append({"doc_id": ids[at + doc].as_py(), "license": index.names[t], "first_word": a, "n_words": b - a + 1, "containment": share})
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("containment", pa.float64())]))
 
-    return docs.select("doc_id", "text").mapInArrow(scan, MATCHES)
+    return workspace.bounded(docs).select("doc_id", "text").mapInArrow(W.tidy(scan), MATCHES)
