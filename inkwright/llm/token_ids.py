@@ -73,6 +73,20 @@ class EliasFano:
         part = np.unpackbits(self.lows[at // 8 : (at + self.low + 7) // 8], bitorder="little")[at % 8 : at % 8 + self.low]
         return (high << self.low) | sum(int(b) << k for k, b in enumerate(part))
 
+    def part(self, first: int, to: int) -> np.ndarray:
+        """The numbers from the first to before the last, by a select for the first; nothing else is decoded."""
+        if to <= first:
+            return np.zeros(0, np.uint64)
+        low, high = (int(np.searchsorted(self.before, i, side="right")) - 1 for i in (first, to - 1))
+        ones = np.flatnonzero(np.unpackbits(self.highs[low : high + 1], bitorder="little"))[first - int(self.before[low]) :][: to - first]
+        out = (8 * low + ones - np.arange(first, to)).astype(np.uint64) << np.uint64(self.low)
+        if self.low:
+            at, end = first * self.low, to * self.low
+            bits = np.unpackbits(self.lows[at // 8 : (end + 7) // 8], bitorder="little")[at % 8 :][: end - at].reshape(to - first, self.low)
+            for k in range(self.low):
+                out |= bits[:, k].astype(np.uint64) << np.uint64(k)
+        return out
+
     def all(self) -> np.ndarray:
         high = (np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n] - np.arange(self.n)).astype(np.uint64)
         out = high << np.uint64(self.low)
@@ -133,7 +147,7 @@ def write_token_ids(docs: DataFrame, out: str, tokenizer: str | None = None, end
             yield pa.RecordBatch.from_pylist([{"shard": shard, "uri": uri, "documents": len(ends) - 1, "tokens": int(ends[-1])}], schema=pa.schema([("shard", pa.int32()), ("uri", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())]))
 
     spread = docs.select("doc_id", "text", F.xxhash64("text").alias("_h")).repartitionByRange("doc_id", "_h")
-    rows = spread.sortWithinPartitions("doc_id", "_h", "text").mapInArrow(write, SHARDS).collect()
+    rows = spread.sortWithinPartitions("doc_id", "_h", "text").mapInArrow(W.tidy(write, keeps=True), SHARDS).collect()
     return [(r.uri, r.documents, r.tokens) for r in sorted(rows)]
 
 
@@ -149,8 +163,21 @@ class Shard:
             raise ValueError(f"{uri} is not a whole token-id file")
         self.file.seek(at)
         self.bounds = EliasFano.from_bytes(self.file.read(b))
-        keys = EliasFano.from_bytes(self.file.read(k)).all() + np.int64(least).astype(np.uint64)
-        self.doc_ids = pa.concat_arrays([pa.nulls(nulls, pa.int64()), pa.array(keys.view(np.int64))])
+        self.keys, self.nulls, self.least = EliasFano.from_bytes(self.file.read(k)), nulls, least
+
+    def doc_ids(self, first: int, to: int) -> pa.Array:
+        """Ids of the documents from the first to before the last; those without one come first."""
+        none = max(0, min(to, self.nulls) - first)
+        keys = self.keys.part(max(first, self.nulls) - self.nulls, to - self.nulls) + np.int64(self.least).astype(np.uint64)
+        return pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(keys.view(np.int64))])
+
+    def block(self, first: int, tokens_: int) -> int:
+        """The last document that ends within so many tokens of the first one's start, but one at least, plus one; found by selects."""
+        low, high, limit = first + 1, self.documents, self.bounds[first] + tokens_
+        while low < high:
+            mid = (low + high + 1) // 2
+            low, high = (mid, high) if self.bounds[mid] <= limit else (low, mid - 1)
+        return low
 
     def ids(self, first: int, to: int) -> np.ndarray:
         """Ids from token first up to token to."""
@@ -176,18 +203,18 @@ def read_token_ids(spark: SparkSession, shards: list[tuple[str, int, int]], dige
         for batch in batches:
             for uri, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 shard = Shard(uri)
-                ends = shard.bounds.all().astype(np.int64)
                 at = 0
                 while at < shard.documents:
-                    to = max(at + 1, int(np.searchsorted(ends, ends[at] + (1 << 21), side="right")) - 1)
-                    ids, own = shard.ids(int(ends[at]), int(ends[to])), ends[at : to + 1] - ends[at]
+                    to = shard.block(at, 1 << 21)
+                    ends = shard.bounds.part(at, to + 1).astype(np.int64)
+                    ids, own = shard.ids(int(ends[0]), int(ends[-1])), ends - ends[0]
                     if digest:
                         raw = memoryview(ids).cast("B")
                         last = pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)], pa.int64())
                     else:
                         last = pa.ListArray.from_arrays(pa.array(own.astype(np.int32)), pa.array(ids.view(np.int32)))
-                    yield pa.RecordBatch.from_arrays([shard.doc_ids.slice(at, to - at), pa.array(first + ends[at:to]), pa.array(np.diff(own)), last], names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
+                    yield pa.RecordBatch.from_arrays([shard.doc_ids(at, to), pa.array(first + ends[:-1]), pa.array(np.diff(own)), last], names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"])
                     at = to
 
     listed = spark.createDataFrame(rows, "uri string, base long")
-    return listed.repartition(max(1, len(rows))).mapInArrow(read, schema)
+    return listed.repartition(max(1, len(rows))).mapInArrow(W.tidy(read), schema)
