@@ -45,6 +45,34 @@ def test_chain_separates_held_out_documents(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if not r.toxic}
 
 
+def test_scores_equal_a_plain_sum(spark):
+    """Each document's probabilities from its words' weights, one by one."""
+    rows, labels = toxic_rows()
+    docs = helpers.documents(spark, [*rows, (900, None, None, None), (900, "Badword. slurword", None, None)])
+    own, categories = toxicity.by_language(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    chain = toxicity.train(docs, own, categories)
+    got = sorted([(r.doc_id, *(round(r[f"p_{c}"], 9) for c in categories), r.toxic) for r in toxicity.score(docs, chain).collect()])
+    want = []
+    for i, text, *_ in [*rows, (900, None), (900, "Badword. slurword")]:
+        words = {w.strip(toxicity.SIGNS) for w in (text or "").lower().split()}
+        found = {f for w in words for f in toxicity._features([w])[0]}
+        p = []
+        for link in chain.links:
+            z = link.bias + sum(link.weights.get(f, 0.0) for f in found) + sum(w * q for w, q in zip(link.earlier, p, strict=True))
+            p.append(1 / (1 + np.exp(-min(30, max(-30, z)))))
+        want.append((i, *(round(float(x), 9) for x in p), bool(p[-1] >= chain.threshold)))
+    assert got == sorted(want)
+
+
+def test_fitting_takes_one_text_of_a_doc_id(spark):
+    """Whatever the order of rows, the same text of a repeated doc_id is fitted."""
+    rows, labels = toxic_rows()
+    docs = helpers.documents(spark, [*rows, *((i, f"otro texto {i}", "en", "s") for i in range(0, 400, 3))])
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    chains = [toxicity.train(d, *toxicity.by_language(d, known)) for d in (docs, docs.orderBy("text").repartition(7))]
+    assert chains[0].threshold == chains[1].threshold and chains[0].links == chains[1].links
+
+
 def test_chain_without_labels(spark):
     docs = helpers.documents(spark, helpers.odd_rows())
     none = spark.createDataFrame([(1, 1, None), (None, 1, 1), (777, 0, 1)], "doc_id long, quality int, toxic int")
@@ -196,6 +224,28 @@ def test_license_in_a_text_shorter_than_the_window(spark):
         assert [(r.doc_id, r.first_word, r.n_words, round(r.containment, 3)) for r in out] == [(0, 0, 64, 0.857)]
 
 
+def test_licenses_equal_brute_force(spark):
+    """Every template against every document by exact containment: copies whole, cut, with words replaced, wrapped as comments, twice, beside other notices."""
+    rng = random.Random(13)
+    texts = []
+    for k in range(160):
+        name = rng.choice(sorted(license_scan.TEMPLATES))
+        words = license_scan.TEMPLATES[name].split()
+        if rng.random() < 0.4:
+            words = words[rng.randrange(1 + len(words) // 4) :]
+        for _ in range(rng.choice([0, 0, 1, len(words) // 25, len(words) // 12])):
+            words[rng.randrange(len(words))] = f"otra{rng.randint(0, 9)}"
+        body = "\n# ".join(" ".join(words[i : i + 8]) for i in range(0, len(words), 8)) if rng.random() < 0.3 else " ".join(words)
+        texts.append(helpers.prose(rng, rng.choice([0, 3, 50, 400])) + "\n" + body.upper() if k % 9 == 0 else helpers.prose(rng, rng.choice([0, 3, 50, 400])) + " " + body + " " + helpers.prose(rng, rng.choice([0, 2, 100])))
+    runs = lambda t: {tuple(ws[i : i + 5]) for ws in [[x for x in (w.strip(license_scan.SIGNS) for w in t.lower().split()) if x]] for i in range(len(ws) - 4)}
+    templates = {n: runs(t) for n, t in license_scan.TEMPLATES.items()}
+    want = {(i, n): len(runs(t) & own) / len(own) for i, t in enumerate(texts) for n, own in templates.items()}
+    got = {(r.doc_id, r.license): r.containment for r in license_scan.license_scan(helpers.documents(spark, list(enumerate(texts)))).collect()}
+    assert set(got) == {k for k, share in want.items() if share >= 0.8}
+    assert all(share == pytest.approx(want[k]) for k, share in got.items())
+    assert len(got) > 80 and sum(share < 0.8 for share in want.values() if share) > 20
+
+
 def test_license_bands_follow_containment():
     s = license_scan.window_similarity(0.8)
     assert 0.58 < s < 0.6

@@ -49,6 +49,28 @@ def test_every_prefix_is_counted(library):
             assert table.fit(budget) == max(k for k, n in enumerate(want) if n <= budget)
 
 
+def test_prefixes_of_many_words(library):
+    """Against the library, each prefix of words of all kinds: joined scripts, contractions, signs, special strings, characters that grow when lower-cased."""
+    rng = random.Random(4)
+    prefixes = tokens.codec(tokens.default_path()).prefixes
+    pool = ["the", "er", "ing", "tion", "'re", "'l", "'", "7", "!?", "İ", "Σ", "日本", "é", "ß", "<|", "<|endoftext|>", "|>", "\xa0", "strasse", "UN", "quick", "\u0301", "🙂"]
+    words = [tokens.normal("".join(rng.choice(pool) for _ in range(rng.randint(1, 7)))) for _ in range(250)]
+    for w in words:
+        assert prefixes.counts(w).tolist() == [len(library(w[:k])) for k in range(len(w) + 1)], repr(w)
+
+
+def test_a_word_of_a_million_characters(spark, library):
+    rng = random.Random(5)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000_000))
+    rows = [(1, "uno dos " + word), (2, "tres " * 300)]
+    out = {r.doc_id: r for r in token_counts.token_counts(helpers.documents(spark, rows), limit=500).collect()}
+    assert out[1].n_tokens == len(library(rows[0][1]))
+    k = out[1].fit_chars
+    counts = [len(library(rows[0][1][:j])) for j in range(k, k + 40)]
+    assert counts[0] == out[1].fit_tokens <= 500 and min(counts[1:]) > 500
+    assert out[2].n_tokens == out[2].fit_tokens == len(library(rows[1][1]))
+
+
 def test_counts(spark, library):
     rows = helpers.odd_rows()
     out = token_counts.token_counts(helpers.documents(spark, rows), limit=50).collect()
@@ -70,6 +92,8 @@ def test_elias_fano():
         back = token_ids.EliasFano.from_bytes(raw)
         assert (back.all() == v).all()
         assert [back[i] for i in range(0, len(v), 97)] == [int(x) for x in v[::97]]
+        for first, to in ((0, len(v)), (len(v) // 3, len(v) // 2), (len(v) // 2, len(v)), (0, min(1, len(v))), (2, 2)):
+            assert (back.part(first, to) == v[first:to]).all()
         if len(v) > 1000:
             assert len(raw) * 8 <= len(v) * (3 + np.ceil(np.log2(float(v[-1]) / len(v)))) + 400
 
