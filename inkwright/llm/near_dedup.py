@@ -47,6 +47,8 @@ MISS = 1e-6
 SLICE = 2 << 20
 MEMO = 150_000
 ALL_PAIRS = 24
+#: Clusters of up to so many classes are compared whole, in blocks of so many members or differences (``_met``).
+BLOCKED, BLOCK, BLOCK_RUNS = 4096, 512, 1 << 20
 
 
 def bands_for(threshold: float, miss: float = BAND_MISS) -> int:
@@ -241,9 +243,9 @@ def _texts(documents: DataFrame, classes: DataFrame, ids: DataFrame, scratch: wo
 
 
 def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """rows (cluster, id, root, n, pivot, pn, least, text, pivot_text) with linked (to the pivot), bare, need and added.
+    """rows (cluster, id, root, n, k, pivot, pn, least, text, pivot_text) with linked (to the pivot), bare, need, added and lacked.
 
-    added has the runs that the pivot lacks; need is the fewest of them that a
+    added has the runs that the pivot lacks, lacked those that only the pivot has; need is the fewest of them that a
     partner shares, where at least one of the two is not linked to the pivot, but
     1 at least.  A set is bare if it is not linked to the pivot and may be linked
     to one smaller than the pivot without sharing any.
@@ -255,7 +257,7 @@ def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
             text = W.texts(batch.column("text"))
             for at, part in W.slices(text, SLICE):
                 starts, hashes = distinct(*shingles(part, width, memo))
-                linked, bare, need, added = [], [], [], []
+                linked, bare, need, added, lacked = [], [], [], [], []
                 own = batch.slice(at, len(part))
                 for i, (pivot, least) in enumerate(zip(own.column("pivot").to_pylist(), own.column("least").to_pylist(), strict=True)):
                     if pivot not in held:
@@ -273,10 +275,68 @@ def _apart(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     bare.append(not near and over <= 0)
                     need.append(1 if near else max(1, -(-over // (2 * (100 + percent)))))
                     added.append(more.view(np.int64))
-                lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in added]))).astype(np.int32), np.concatenate(added))
-                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("cluster", "id", "root", "n", "pivot", "pn")), pa.array(linked), pa.array(bare), pa.array(need, pa.int64()), lists], names=["cluster", "id", "root", "n", "pivot", "pn", "linked", "bare", "need", "added"])
+                    lacked.append(np.setdiff1d(p, x, assume_unique=True).view(np.int64))
+                lists = [pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(x) for x in c]))).astype(np.int32), np.concatenate(c)) for c in (added, lacked)]
+                yield pa.RecordBatch.from_arrays([*(own.column(c) for c in ("cluster", "id", "root", "n", "k", "pivot", "pn")), pa.array(linked), pa.array(bare), pa.array(need, pa.int64()), *lists], names=["cluster", "id", "root", "n", "k", "pivot", "pn", "linked", "bare", "need", "added", "lacked"])
 
-    return rows.select("cluster", "id", "root", "n", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(W.tidy(differ), "cluster long, id long, root long, n long, pivot long, pn long, linked boolean, bare boolean, need long, added array<long>")
+    return rows.select("cluster", "id", "root", "n", "k", "pivot", "pn", "least", "text", "pivot_text").mapInArrow(W.tidy(differ), "cluster long, id long, root long, n long, k long, pivot long, pn long, linked boolean, bare boolean, need long, added array<long>, lacked array<long>")
+
+
+def met(ids: np.ndarray, roots: np.ndarray, n: np.ndarray, linked: np.ndarray, starts: np.ndarray, runs: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (a, b) that connect all linked ones of rows left and right beyond their roots; row i differs from the pivot in runs[starts[i]:starts[i + 1]].
+
+    Of sets x, y, the runs that only one has are those in which only one differs from the pivot.
+    """
+    size = np.diff(starts)
+    known, code = np.unique(runs, return_inverse=True)
+    doc = np.repeat(np.arange(len(ids)), size)
+    place = np.full(len(ids), -1)
+    place[right] = np.arange(len(right))
+    kept = place[doc] >= 0
+    order = np.argsort(code[kept], kind="stable")
+    holders, first = place[doc[kept]][order], np.searchsorted(code[kept][order], np.arange(len(known) + 1))
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
+
+    links = []
+    for i in left.tolist():
+        open_ = (roots[right] != roots[i]) & ~(linked[right] & linked[i])
+        if not open_.any():
+            continue
+        own = code[starts[i] : starts[i + 1]]
+        many = first[own + 1] - first[own]
+        at = np.repeat(first[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        same = np.bincount(holders[at], minlength=len(right))
+        both = (n[i] + n[right] - (size[i] + size[right] - 2 * same)) // 2
+        hits = np.flatnonzero(open_ & (both > 0) & (100 * both >= percent * (n[i] + n[right] - both)))
+        for k in hits[np.unique(roots[right][hits], return_index=True)[1]].tolist():
+            x, y = find(int(roots[i])), find(int(roots[right[k]]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                links.append((int(ids[i]), int(ids[right[k]])))
+    return links
+
+
+def _met(apart: DataFrame, percent: int, scratch: workspace.Scratch) -> DataFrame:
+    """Links (a, b) within whole clusters of rows of ``_apart``: each two blocks of a cluster's members meet in one call."""
+    sized = apart.withColumn("differs", F.concat("added", "lacked"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("differs")) / BLOCK_RUNS)).cast("long").alias("blocks")
+    blocks = scratch.table(sized.groupBy("cluster").agg(blocks), "blocks")
+    dealt = sized.join(workspace.small_side(blocks, 24), "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+
+    def run(own: pa.Table) -> pa.Table:
+        lists = own.column("differs").combine_chunks()
+        starts = lists.offsets.to_numpy().astype(np.int64)
+        ids, roots, n, linked, block, lo, hi = (own.column(c).to_numpy() for c in ("id", "root", "n", "linked", "block", "lo", "hi"))
+        found = met(ids, roots, n, linked, starts - starts[0], lists.flatten().to_numpy(), np.flatnonzero(block == lo), np.flatnonzero(block == hi), percent)
+        return pa.table({"a": pa.array([max(x) for x in found], pa.int64()), "b": pa.array([min(x) for x in found], pa.int64())})
+
+    pair = dealt.select("cluster", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "root", "n", "linked", "differs")
+    return scratch.table(pair.groupBy("cluster", "lo", "hi").applyInArrow(run, "a long, b long"), "met")
 
 
 def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify, scratch: workspace.Scratch, width: int, percent: int) -> DataFrame:
@@ -290,8 +350,9 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
     as many as the least overlap demands (prefix filter).  Else y is smaller than
     the pivot and x is bare.  What shares a frequent one of the rarest runs, and
     the sets that are smaller than the pivot or bare, are groups of the next turn,
-    which lack the pivot.  A group of up to ``ALL_PAIRS`` members meets
-    pairwise; each turn takes eight times that number, so turns come to an end.
+    which lack the pivot.  A cluster of up to ``ALL_PAIRS`` members meets pairwise;
+    one of up to ``BLOCKED`` is compared whole by its differences from the pivot
+    (``_met``).  Each turn takes eight times these numbers, so turns come to an end.
     """
     sizes = classes.select("id", F.col("n_shingles").alias("n"))
     links = texts = None
@@ -304,21 +365,23 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
         if own.isEmpty():
             return links if links is not None else own.select(F.col("id").alias("a"), F.col("root").alias("b"))
         most = ALL_PAIRS << 3 * turn
-        few = own.join(own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") <= most).select("cluster"), "cluster", "left_semi")
+        few = own.join(own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") <= ALL_PAIRS).select("cluster"), "cluster", "left_semi")
         side = lambda c: few.select("cluster", F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"))
         fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
         direct = side("a").join(side("b"), "cluster").where("a < b and ra != rb").where(fits).select("a", "b")
-        large = own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") > most).select("cluster")
+        large = own.groupBy("cluster").agg(F.count("*").alias("k")).where(F.col("k") > ALL_PAIRS).select("cluster")
         own = scratch.table(own.join(large, "cluster", "left_semi"), "large")
         first = F.when(F.col("root") == F.col("cluster"), F.struct("n", "id"))
-        pivots = scratch.table(own.groupBy("cluster").agg(F.min(first).alias("p"), F.min("n").alias("least")).select("cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"), "least"), "pivots")
+        pivots = scratch.table(own.groupBy("cluster").agg(F.min(first).alias("p"), F.min("n").alias("least"), F.count("*").alias("k")).select("cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"), "least", "k"), "pivots")
         if texts is None:
             texts = _texts(documents, classes, own.select("id").distinct(), scratch)  # later turns have no other members
         of = scratch.table(pivots.join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot"), "pivots")
         total = of.agg(F.coalesce(F.sum(F.octet_length("pivot_text") + 48), F.lit(0)).alias("n")).first().n
-        met = own.join(F.broadcast(of) if total <= workspace.BROADCAST_BYTES else of, "cluster").where("id != pivot").join(texts, "id")
-        apart = scratch.table(_apart(met, width, percent), "apart")
-        runs = apart.select("cluster", "id", "root", "n", "linked", "need", F.explode("added").alias("run"))
+        others = own.join(F.broadcast(of) if total <= workspace.BROADCAST_BYTES else of, "cluster").where("id != pivot").join(texts, "id")
+        apart = scratch.table(_apart(others, width, percent), "apart")
+        whole = _met(apart.where(F.col("k") <= BLOCKED << 3 * turn), percent, scratch)
+        large = apart.where(F.col("k") > BLOCKED << 3 * turn)
+        runs = large.select("cluster", "id", "root", "n", "linked", "need", F.explode("added").alias("run"))
         runs = scratch.table(runs, "runs")
         often = runs.groupBy("cluster", "run").agg(F.count("*").alias("k"), F.bool_or(~F.col("linked")).alias("far")).where("k > 1 and far")
         each = Window.partitionBy("cluster", "id")
@@ -329,10 +392,10 @@ def _dense(groups: DataFrame, classes: DataFrame, documents: DataFrame, verify,
         rare = held.where(F.col("k") <= most)
         one = lambda c: rare.select("cluster", "run", F.col("id").alias(c), F.col("root").alias(f"r{c}"), F.col("n").alias(f"n{c}"), F.col("linked").alias(f"l{c}"))
         pairs = one("a").join(one("b"), ["cluster", "run"]).where("a < b and ra != rb and not (la and lb)").where(fits).select("a", "b").unionByName(direct).distinct()
-        found = verify(scratch.table(pairs, "pairs")).unionByName(apart.where("linked and root != cluster").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")))
+        found = verify(scratch.table(pairs, "pairs")).unionByName(whole).unionByName(apart.where("linked and root != cluster").select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")))
         links = found if links is None else links.unionByName(found)
         again = held.where(F.col("k") > most).select(F.xxhash64(F.lit(turn), "cluster", "run").alias("band"), "id", "root")
-        small = apart.where("n < pn or bare").select(F.xxhash64(F.lit(turn), "cluster").alias("band"), "id", "root")
+        small = large.where("n < pn or bare").select(F.xxhash64(F.lit(turn), "cluster").alias("band"), "id", "root")
         work, turn = scratch.table(again.unionByName(small), "work"), turn + 1
 
 

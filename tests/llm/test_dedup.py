@@ -115,6 +115,45 @@ def test_near_dedup_with_a_spread_group(spark):
     assert {r.doc_id: r.component_id for r in out} == want
 
 
+def spread_rows():
+    """A group of 400 texts that differ from a base in four places each, with few words there, so that most are just too far apart."""
+    rng = random.Random(13)
+    base = [f"b{k}" for k in range(90)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for at in rng.sample(range(0, 90, 3), 4):
+            own[at] = f"w{rng.randint(0, 1)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_near_dedup_of_a_spread_group_makes_few_pairs(spark, monkeypatch):
+    """Rows of pairs don't grow with the square of a group whose members are just too far apart."""
+    rows, seen, table = spread_rows(), [], workspace.Scratch.table
+
+    def counted(self, df, name="table", *more):
+        out = table(self, df, name, *more)
+        seen.append(out.count() if name == "pairs" else 0)
+        return out
+
+    monkeypatch.setattr(workspace.Scratch, "table", counted)
+    out = near_dedup.near_dedup(helpers.documents(spark, rows)).collect()
+    want = helpers.near_components(rows, 3, 85)
+    assert 20 < len(set(want.values())) < 380
+    assert {r.doc_id: r.component_id for r in out} == want
+    assert sum(seen) < 60 * len(rows)
+
+
+def test_near_dedup_by_rare_runs_before_blocks(spark, monkeypatch):
+    """Clusters beyond BLOCKED meet by prefixes of their rare runs first; blocks of a few members, each two in one call."""
+    monkeypatch.setattr(near_dedup, "BLOCKED", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK", 50)
+    rows = spread_rows()
+    out = near_dedup.near_dedup(helpers.documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in out} == helpers.near_components(rows, 3, 85)
+
+
 def test_near_dedup_odd_rows(spark):
     rows = helpers.odd_rows()
     docs = helpers.documents(spark, rows)
