@@ -349,6 +349,40 @@ def test_line_dedup_by_edit_similarity_alone(spark):
     assert sum(out[2 * i + 1] for i in range(len(pairs))) > 0.95 * len(pairs)
 
 
+def crowded_rows():
+    """Ten pairs of near lines of one template, each pair far from the others; a pair's second differs in every other word behind the template, so that no run of eight is left there."""
+    rng = random.Random(51)
+    words = lambda n, size, letters: ["".join(rng.choice(letters) for _ in range(size)) for _ in range(n)]
+    fixed = words(12, 7, "abcdefghij")
+    rows = []
+    for k in range(10):
+        own = words(20, 2, "klmnopqrstuvw")
+        rows += [(2 * k, " ".join(fixed + own)), (2 * k + 1, " ".join(fixed + [w if at % 2 else rng.choice("xyz") + w[1] for at, w in enumerate(own)]))]
+    return rows
+
+
+def test_line_dedup_compares_what_shares_crowded_runs_only(spark, monkeypatch):
+    """A pair that shares no run but those of a crowded group, and that no pivot links, is found."""
+    monkeypatch.setattr(line_dedup, "ALL_PAIRS", 4)
+    monkeypatch.setattr(line_dedup, "GROUP_BLOCK", 7)
+    rows = crowded_rows()
+    gone = line_oracle(rows)
+    assert 8 <= sum(map(len, gone.values())) <= 10
+    out = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup(helpers.documents(spark, rows)).collect()}
+    assert out == {i: len(gone.get(i, ())) for i, _ in rows}
+
+
+def test_lines_compared_whole_by_brute_force():
+    rng = random.Random(52)
+    lines = [x for p in near_lines(rng, 40) for x in p] + ["", "a", "ab cd"]
+    rng.shuffle(lines)
+    roots = [b"%03d" % i for i in range(len(lines))]
+    half = len(lines) // 2
+    want = {(i, j) for i in range(half) for j in range(half, len(lines)) if distance(lines[i], lines[j]) <= line_dedup.edits(max(len(lines[i]), len(lines[j])), 0.9)}
+    assert len(want) > 10
+    assert set(line_dedup.close(lines, roots, list(range(half)), list(range(half, len(lines))), 0.9)) == want
+
+
 def test_near_dedup_links_beyond_the_pivot(spark):
     """In crowded bands, sets linked to the pivot and smaller than it, each with a partner that isn't linked to the pivot and shares no added run."""
     rng = random.Random(31)
