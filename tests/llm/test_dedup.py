@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from inkwright.llm import components, exact_dedup, line_dedup, near_dedup, workspace
 from tests.llm import helpers
@@ -361,10 +362,12 @@ def crowded_rows():
     return rows
 
 
-def test_line_dedup_compares_what_shares_crowded_runs_only(spark, monkeypatch):
-    """A pair that shares no run but those of a crowded group, and that no pivot links, is found."""
+@pytest.mark.parametrize("whole", [0, 4096])
+def test_line_dedup_compares_what_shares_crowded_runs_only(spark, monkeypatch, whole):
+    """A pair that shares no run but those of a crowded group, and that no pivot links, is found, after denser samples and at once."""
     monkeypatch.setattr(line_dedup, "ALL_PAIRS", 4)
     monkeypatch.setattr(line_dedup, "GROUP_BLOCK", 7)
+    monkeypatch.setattr(line_dedup, "WHOLE", whole)
     rows = crowded_rows()
     gone = line_oracle(rows)
     assert 8 <= sum(map(len, gone.values())) <= 10
