@@ -386,6 +386,49 @@ def test_lines_compared_whole_by_brute_force():
     assert set(line_dedup.close(lines, roots, list(range(half)), list(range(half, len(lines))), 0.9)) == want
 
 
+def test_lines_of_one_block_by_brute_force(monkeypatch):
+    """Lines of few different runs, compared with each other: what is linked is connected, and runs are counted as often as they occur."""
+    rng = random.Random(53)
+    lines = []
+    for _ in range(8):
+        own = " ".join(rng.choices("abcdef", [2 ** rng.randint(0, 5) for _ in range(6)], k=60))
+        at = rng.randrange(len(own))
+        lines += [own, own[:at] + own[at + 9 :]]
+    rng.shuffle(lines)
+    ids, calls = [b"%03d" % i for i in range(len(lines))], []
+    was = line_dedup.near
+    monkeypatch.setattr(line_dedup, "near", lambda *x: calls.append(x) or was(*x))
+
+    def groups(pairs):
+        root = list(range(len(lines)))
+        for i, j in pairs:
+            root = [root[i] if r == root[j] else r for r in root]
+        return {frozenset(k for k, r in enumerate(root) if r == x) for x in root}
+
+    every = list(range(len(lines)))
+    found = line_dedup.close(lines, ids, every, every, 0.9)
+    assert groups(found) == groups((i, j) for i in every for j in every[:i] if distance(lines[i], lines[j]) <= line_dedup.edits(max(len(lines[i]), len(lines[j])), 0.9))
+    assert len(calls) <= 20  # of 120 pairs
+
+
+def test_line_dedup_leaves_no_shuffle_files_of_written_tables(spark, monkeypatch):
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+    table, left = workspace.Scratch.table, {}
+
+    def write(self, df, name="table", *rest):
+        before = files()
+        out = table(self, df, name, *rest)
+        left.setdefault(name, set()).update(files() - before)
+        return out
+
+    monkeypatch.setattr(workspace.Scratch, "table", write)
+    rows = crowded_rows()
+    assert line_dedup.line_dedup(helpers.documents(spark, rows)).count() == len(rows)
+    assert {"nodes", "keys", "pairs", "links", "keep", "gone"} <= set(left)
+    assert not any(left.values()), left
+    assert spark.conf.get(workspace.CLEANUP, None) is None
+
+
 def test_near_dedup_links_beyond_the_pivot(spark):
     """In crowded bands, sets linked to the pivot and smaller than it, each with a partner that isn't linked to the pivot and shares no added run."""
     rng = random.Random(31)
