@@ -61,8 +61,9 @@ def norm_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(strip_accents(collapse_spacing(c))), "[^a-z0-9]", "")
 
 
-def slugify(c: Column, longest: int = 60) -> Column:
-    dashed = F.regexp_replace(F.lower(strip_accents(collapse_spacing(c))), "[^a-z0-9]+", "-")
+def slugify(c: Column, longest: int = 60, collapse: bool = True) -> Column:
+    """c as a slug; spaced single letters are one word, unless ``collapse`` is off."""
+    dashed = F.regexp_replace(F.lower(strip_accents(collapse_spacing(c) if collapse else c)), "[^a-z0-9]+", "-")
     return F.btrim(F.substring(F.btrim(dashed, F.lit("-")), 1, longest), F.lit("-"))
 
 
