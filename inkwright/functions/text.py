@@ -24,6 +24,8 @@ def _accents() -> tuple[str, str]:
 
 
 ACCENTED, BARE = _accents()
+#: What \s of (?U) stands for.
+BLANKS = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 WORD_CUT = r"(?U)(?<=\b\w) (?=\w \w\b)|(?<=\b\w \w) (?=\w\b)"
 ROMAN = "^[ivxlcdm]+$"
 
@@ -40,16 +42,16 @@ DEFAULT_FEATURE = "investigacion"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def collapse_spacing(c: Column) -> Column:
     """Joins runs of three or more single letters, squeezes blanks, strips.
 
-    The middle one of three single letters has a blank on each side, so the
-    costlier pattern is tried only on text with such a letter.
+    The middle one of three single letters has a blank on each side and a single
+    letter after it, so the costlier pattern is tried only on text with such a letter.
     """
-    joined = F.when(c.rlike(r" \S "), F.regexp_replace(c, WORD_CUT, "")).otherwise(c)
+    joined = F.when(c.rlike(r" \S (?=\S(?![\p{L}\p{Nd}]))"), F.regexp_replace(c, WORD_CUT, "")).otherwise(c)
     return strip(F.regexp_replace(joined, r"[ \t]{2,}", " "))
 
 
@@ -58,7 +60,9 @@ def strip_accents(c: Column) -> Column:
 
 
 def norm_key(c: Column) -> Column:
-    return F.regexp_replace(F.lower(strip_accents(collapse_spacing(c))), "[^a-z0-9]", "")
+    """Letters a to z and digits of c; marks and blanks, joined or not, are among what goes."""
+    bare = F.when(F.length(c) == F.octet_length(c), c).otherwise(F.translate(c, ACCENTED, BARE))
+    return F.regexp_replace(F.lower(bare), "[^a-z0-9]+", "")
 
 
 def slugify(c: Column, longest: int = 60, collapse: bool = True) -> Column:
@@ -68,13 +72,14 @@ def slugify(c: Column, longest: int = 60, collapse: bool = True) -> Column:
 
 
 def no_space(c: Column) -> Column:
-    return F.upper(F.regexp_replace(strip_accents(collapse_spacing(c)), r"(?U)\s", ""))
+    """Capitals without accents and blanks, so it doesn't matter whether spaced letters were joined."""
+    return F.upper(F.translate(strip_accents(c), BLANKS, ""))
 
 
 def upper_ratio(c: Column) -> Column:
     """Share of capitals among letters; 0 without letters."""
-    letters = F.length(F.regexp_replace(c, r"\P{L}", ""))
-    return F.when(letters > 0, F.length(F.regexp_replace(c, r"\P{Lu}", "")) / letters).when(c.isNotNull(), 0.0)
+    letters, capitals = (F.length(F.regexp_replace(c, kind, "")) for kind in (r"\P{L}+", r"\P{Lu}+"))
+    return capitals / F.greatest(letters, F.lit(1))
 
 
 def is_title_line(c: Column) -> Column:
@@ -116,10 +121,14 @@ def canonical_name(c: Column, rules: list[tuple[list[str], str]]) -> Column:
 
 
 def feature_type(c: Column) -> Column:
-    key, out = norm_key(c), F.lit(DEFAULT_FEATURE)
-    for name, pattern in reversed(FEATURE_RULES):
-        out = F.when(key.rlike(pattern), name).otherwise(out)
-    return F.when(c.isNotNull(), out)
+    def of(key: Column) -> Column:
+        out = F.lit(DEFAULT_FEATURE)
+        for name, pattern in reversed(FEATURE_RULES):
+            out = F.when(key.rlike(pattern), name).otherwise(out)
+        return F.when(key.isNotNull(), out)
+
+    # as a lambda's variable, the key is made once
+    return F.get(F.transform(F.array(norm_key(c)), of), F.lit(0))
 
 
 def occurrences(hay: Column, needle: str) -> Column:
