@@ -26,7 +26,8 @@ def header(c: Column) -> Column:
     lines = F.filter(F.split(F.regexp_extract(c, HEADER, 1), r"\r?\n"), lambda x: x.rlike(LINE))
     value = lambda x: text.strip(F.regexp_extract(x, LINE, 2))
     plain = lambda v: F.when(v.rlike('^".*"$') & (F.length(v) > 1), v.substr(F.lit(2), F.length(v) - 2)).otherwise(v)
-    pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, LINE, 1).alias("k"), plain(value(x)).alias("v")))
+    found = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, LINE, 1).alias("k"), value(x).alias("v")))
+    pairs = F.transform(found, lambda p: F.struct(p["k"].alias("k"), plain(p["v"]).alias("v")))
     last = lambda ps: F.filter(ps, lambda p, i: ~F.exists(F.slice(ps, i + 2, F.size(ps)), lambda q: q["k"] == p["k"]))
     # as a lambda's variable, the pairs are made once
     return F.get(F.transform(F.array(pairs), lambda ps: F.map_from_entries(last(ps))), F.lit(0))
