@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,6 +41,11 @@ FEATURE_RULES = (
 DEFAULT_FEATURE = "investigacion"
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are worked out once for each row; else each filter and expression on one repeats all of it."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
@@ -150,17 +155,22 @@ def summary(c: Column, words: int = 40) -> Column:
 
 def split_features(c: Column, phrases: list[str]) -> Column:
     """struct(prefix, features): c without the recurring phrases at its end, and these, in order. The prefix keeps a word."""
-    words = F.filter(F.split(strip(c), r"(?U)\s+"), lambda w: w != "")
-    keys = F.transform(words, lambda w: F.btrim(F.lower(strip_accents(w)), F.lit(".,;:¿?¡!")))
-    line = F.array_join(keys, " ")
     chain = "|".join(sorted(phrases, key=len, reverse=True))
-    tail = F.regexp_extract(line, rf"^.+?((?: (?:{chain}))*)$", 1)
-    found = F.regexp_extract_all(tail, F.lit(rf" ({chain})(?= |$)"), F.lit(1))
     size = lambda p: F.size(F.split(p, " "))
-    total = F.aggregate(found, F.lit(0), lambda a, p: a + size(p))
-    start = lambda i: F.size(words) - total + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, p: a + size(p)) + 1
-    features = F.transform(found, lambda p, i: F.array_join(F.slice(words, start(i), size(p)), " "))
-    return F.struct(F.array_join(F.slice(words, F.lit(1), F.size(words) - total), " ").alias("prefix"), features.alias("features"))
+    sizes = lambda ps: F.aggregate(ps, F.lit(0), lambda a, p: a + size(p))
+    # as lambdas' variables, the words and the phrases are found once
+    let = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+
+    def phrased(words: Column) -> Column:
+        line = F.array_join(F.transform(words, lambda w: F.btrim(F.lower(strip_accents(w)), F.lit(".,;:¿?¡!"))), " ")
+        tail = F.regexp_extract(line, rf"^.+?((?: (?:{chain}))*)$", 1)
+        return let(F.regexp_extract_all(tail, F.lit(rf" ({chain})(?= |$)"), F.lit(1)), lambda found: let(F.size(words) - sizes(found), lambda kept: parted(words, found, kept)))
+
+    def parted(words: Column, found: Column, kept: Column) -> Column:
+        features = F.transform(found, lambda p, i: F.array_join(F.slice(words, kept + sizes(F.slice(found, F.lit(1), i)) + 1, size(p)), " "))
+        return F.struct(F.array_join(F.slice(words, F.lit(1), kept), " ").alias("prefix"), features.alias("features"))
+
+    return let(F.filter(F.split(strip(c), r"(?U)\s+"), lambda w: w != ""), phrased)
 
 
 def detect_byline(paragraphs: Column, rules: list[tuple[list[str], str]], default: str, within: int = 6, longest: int = 60) -> Column:

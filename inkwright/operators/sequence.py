@@ -57,12 +57,10 @@ def toc_bounds(blocks: DataFrame, end_marker: str, within: int = 120) -> DataFra
     later block that begins with end_marker (capitals, no spaces).
     """
     early = F.col("pos") < within
-    start = blocks.groupBy("issue_id").agg(
-        F.coalesce(first_position(early & text.norm_key(F.col("text")).startswith("directorio")), first_position(early & text.no_space(F.col("text")).isin(HEADER_WORDS)), F.lit(0)).alias("start"), (F.max("pos") + 1).alias("n")
-    )
-    joined = blocks.join(start, "issue_id")
-    ends = joined.groupBy("issue_id", "start", "n").agg(first_position((F.col("pos") > F.col("start")) & text.no_space(F.col("text")).startswith(end_marker)).alias("e"))
-    return ends.select("issue_id", "start", F.coalesce("e", "n").alias("end"))
+    solid = blocks.select("issue_id", "pos", text.norm_key(F.col("text")).startswith("directorio").alias("named"), text.no_space(F.col("text")).alias("solid"))
+    marks = F.collect_list(F.when(F.col("solid").startswith(end_marker), F.col("pos"))).alias("marks")
+    start = solid.groupBy("issue_id").agg(F.coalesce(first_position(early & F.col("named")), first_position(early & F.col("solid").isin(HEADER_WORDS)), F.lit(0)).alias("start"), (F.max("pos") + 1).alias("n"), marks)
+    return start.select("issue_id", "start", F.coalesce(F.array_min(F.filter("marks", lambda p: p > F.col("start"))), "n").alias("end"))
 
 
 def toc_tokens(blocks: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -70,67 +68,67 @@ def toc_tokens(blocks: DataFrame, bounds: DataFrame) -> DataFrame:
 
     A line that is no title continues the title before it, or is dropped after a number.
     """
-    line = text.strip(text.collapse_spacing(F.col("text")))
-    inside = blocks.join(bounds, "issue_id").where("pos >= start and pos < `end`").withColumn("s", line)
-    inside = inside.where((F.col("s") != "") & ~text.no_space(F.col("s")).isin(HEADER_WORDS))
+    lines = text.once(blocks.select("issue_id", "pos", "text", "pagenum"), s=text.collapse_spacing(F.col("text"))).drop("text").where("s != ''")
     kind = F.when(F.col("pagenum").isNotNull(), "num").when(text.is_title_line(F.col("s")), "title").otherwise("more")
-    marked = islands(inside.withColumn("kind", kind), ["issue_id"], "pos", F.col("kind") != "more", "token").where("token > 0")
-    marked = marked.withColumn("s", text.strip_leaders(F.col("s")))
+    read = text.once(lines.where(~text.no_space(F.col("s")).isin(HEADER_WORDS)), kind=kind, line=text.strip_leaders(F.col("s"))).drop("s").withColumnRenamed("line", "s")
+    inside = read.join(bounds, "issue_id").where("pos >= start and pos < `end`")
+    marked = islands(inside, ["issue_id"], "pos", F.col("kind") != "more", "token").where("token > 0")
     first = F.min_by("kind", "pos").alias("kind")
     tokens = marked.groupBy("issue_id", "token").agg(first, ordered_concat(marked, [], "pos", "s").alias("line"), F.min_by("pagenum", "pos").alias("page"))
     return tokens.select("issue_id", (F.col("token") - 1).alias("idx"), "kind", F.when(F.col("kind") == "title", F.col("line")).alias("title"), F.when(F.col("kind") == "num", F.col("page")).alias("page"))
 
 
-def toc_layout(tokens: DataFrame) -> DataFrame:
-    """tokens with interleaved: whether the issue's first number comes before its last title."""
-    every = Window.partitionBy("issue_id")
-    number, title = F.min(F.when(F.col("kind") == "num", F.col("idx"))).over(every), F.max(F.when(F.col("kind") == "title", F.col("idx"))).over(every)
-    return tokens.withColumn("interleaved", F.coalesce(number < title, F.lit(False)))
+def toc_entries(tokens: DataFrame) -> DataFrame:
+    """issue_id, ord, title, page of each issue, by its layout: an issue's tokens as one array.
 
+    The layout is interleaved if the first number comes before the last title.
+    """
+    rows = tokens.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct("idx", "kind", "title", "page"))).alias("items"))
+    number, title = (F.transform(F.filter("items", lambda t: t["kind"] == kind), lambda t: t["idx"]) for kind in ("num", "title"))
+    found = F.when(F.coalesce(F.array_min(number) < F.array_max(title), F.lit(False)), interleaved_entries(F.col("items"))).otherwise(block_entries(F.col("items")))
+    return rows.select("issue_id", F.posexplode(found).alias("ord", "e")).select("issue_id", "ord", "e.title", "e.page").where("title is not null")
 
-def toc_entries(tokens: DataFrame) -> DataFrame:
-    """issue_id, ord, title, page of each issue, by its layout."""
-    marked = toc_layout(tokens)
-    return interleaved_entries(marked.where("interleaved").drop("interleaved")).unionByName(block_entries(marked.where("not interleaved").drop("interleaved")))
 
+def _entry(title: Column, page: Column) -> Column:
+    return F.struct(title.alias("title"), page.alias("page"))
+
+
+def interleaved_entries(items: Column) -> Column:
+    """Array of title, page: titles up to each number are joined; later ones have no page each."""
+    none = F.lit(None).cast("int")
+    ends = F.filter(F.transform(items, lambda t, i: F.when(t["kind"] == "num", i)), lambda i: i.isNotNull())
+
+    def cut(ends: Column) -> Column:
+        before = lambda x: F.when(x > 0, F.get(ends, x - 1)).otherwise(-1)
+        titles = lambda low, high: F.filter(F.transform(F.slice(items, low + 2, high - low - 1), lambda t: t["title"]), lambda t: t.isNotNull())
+        runs = F.transform(ends, lambda end, x: F.struct(titles(before(x), end).alias("titles"), F.get(items, end)["page"].alias("page")))
+        closed = F.transform(F.filter(runs, lambda r: F.size(r["titles"]) > 0), lambda r: _entry(F.array_join(r["titles"], " "), r["page"]))
+        return F.concat(closed, F.transform(titles(before(F.size(ends)), F.size(items)), lambda t: _entry(t, none)))
 
-def interleaved_entries(tokens: DataFrame) -> DataFrame:
-    """issue_id, ord, title, page: titles up to each number are joined; later ones have no page each."""
-    before = Window.partitionBy("issue_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    number = (F.col("kind") == "num").cast("int")
-    runs = tokens.withColumn("run", F.coalesce(F.sum(number).over(before), F.lit(0)))
-    closed = F.max(number).over(Window.partitionBy("issue_id", "run")) == 1
-    grouped = runs.withColumn("part", F.when(closed, -1).otherwise(F.col("idx")))
-    rows = grouped.groupBy("issue_id", "run", "part").agg(ordered_concat(grouped, [], "idx", "title").alias("title"), F.max("page").alias("page"), F.min("idx").alias("idx"), F.count("title").alias("titles"))
-    return _numbered(rows.where("titles > 0").select("issue_id", "idx", "title", "page"))
+    return F.get(F.transform(F.array(ends), cut), F.lit(0))
 
 
-def block_entries(tokens: DataFrame) -> DataFrame:
-    """issue_id, ord, title, page: titles meet numbers by position.
+def block_entries(items: Column) -> Column:
+    """Array of title, page: titles meet numbers by position.
 
     If there is one number more than titles and the first title is not the
     directory, it is put before them.  Titles that outnumber the numbers are to
     be merged first (``matching.merge_to_count``).
     """
-    every = Window.partitionBy("issue_id")
-    titles, numbers = F.count("title").over(every), F.count("page").over(every)
-    first = F.min(F.when(F.col("kind") == "title", F.struct("idx", "title"))).over(every)["title"]
-    added = F.coalesce((numbers == titles + 1) & (titles > 0) & ~text.norm_key(first).startswith("directorio"), F.lit(False))
-    nth = F.row_number().over(Window.partitionBy("issue_id", "kind").orderBy("idx"))
-    placed = tokens.withColumns({"added": added, "nth": nth}).withColumn("k", F.col("nth") + (F.col("added") & (F.col("kind") == "title")).cast("int"))
-    met = placed.groupBy("issue_id", "k").agg(F.max("title").alias("title"), F.max("page").alias("page"), F.bool_or("added").alias("added"))
-    named = met.withColumn("title", F.when(F.col("added") & (F.col("k") == 1), "DIRECTORIO").otherwise(F.col("title"))).where("title is not null")
-    return named.select("issue_id", (F.col("k") - 1).alias("ord"), "title", "page")
+    of = lambda kind, field: F.transform(F.filter(items, lambda t: t["kind"] == kind), lambda t: t[field])
 
+    def meet(both: Column) -> Column:
+        titles, pages = both["titles"], both["pages"]
+        added = (F.size(pages) == F.size(titles) + 1) & (F.size(titles) > 0) & ~text.norm_key(F.get(titles, F.lit(0))).startswith("directorio")
+        whole = F.when(F.coalesce(added, F.lit(False)), F.concat(F.array(F.lit("DIRECTORIO")), titles)).otherwise(titles)
+        return F.transform(whole, lambda t, i: _entry(t, F.get(pages, i)))
 
-def _numbered(entries: DataFrame) -> DataFrame:
-    order = Window.partitionBy("issue_id").orderBy("idx")
-    return entries.select("issue_id", (F.row_number().over(order) - 1).alias("ord"), "title", "page")
+    return F.get(F.transform(F.array(F.struct(of("title", "title").alias("titles"), of("num", "page").alias("pages"))), meet), F.lit(0))
 
 
 def merge_danglers(entries: DataFrame) -> DataFrame:
     """Entries whose title ends on a dangling word take the next one's title; the first page stays."""
-    last = F.regexp_extract(F.col("title"), r"(?U)(\S+)\s*$", 1)
+    last = F.regexp_extract(text.strip(F.col("title")), r"(?U)\S+$", 0)
     open_end = F.btrim(F.lower(text.strip_accents(last)), F.lit(".,;:")).isin(DANGLING)
     order = Window.partitionBy("issue_id").orderBy("ord")
     marked = entries.withColumn("_open", F.coalesce(open_end, F.lit(False)))
@@ -155,9 +153,9 @@ def toc_corrections(entries: DataFrame, manual: DataFrame | None = None, phrases
         return merged
     keyed = merged.withColumn("key", text.norm_key(F.col("title")))
     rules = manual.withColumn("key", text.norm_key(F.col("key")))
-    kept = keyed.join(F.broadcast(rules.where("kind = 'drop'").select("issue_id", "key")), ["issue_id", "key"], "left_anti")
+    kept = keyed.join(rules.where("kind = 'drop'").select("issue_id", "key"), ["issue_id", "key"], "left_anti")
     fold = rules.where("kind = 'merge_prev'").select("issue_id", "key", F.lit(True).alias("fold")).distinct()
-    marked = kept.join(F.broadcast(fold), ["issue_id", "key"], "left")
+    marked = kept.join(fold, ["issue_id", "key"], "left")
     joined = islands(marked, ["issue_id"], "ord", F.col("fold").isNull() | (F.row_number().over(Window.partitionBy("issue_id").orderBy("ord")) == 1))
     return joined.groupBy("issue_id", "island").agg(ordered_concat(joined, [], "ord", "title").alias("title"), F.min_by("page", "ord").alias("page")).select("issue_id", (F.col("island") - 1).alias("ord"), "title", "page")
 
@@ -197,10 +195,11 @@ def clean_body(blocks: DataFrame, titles: DataFrame, running: str = RUNNING) ->
     one without an end sign.
     """
     keys = titles.select("issue_id", text.norm_key(F.col("title")).alias("key")).distinct()
-    lines = blocks.where("pagenum is null").withColumn("s", text.collapse_spacing(F.col("text"))).where("s != ''")
-    lines = lines.where(~(F.lower(text.strip_accents(F.col("s"))).rlike(running) & (F.length("s") < 40))).withColumn("key", text.norm_key(F.col("s")))
-    short = lines.where(F.length("s") < 60).join(keys, ["issue_id", "key"], "left_anti")
-    kept = short.select("issue_id", "section", "pos", "s").unionByName(lines.where(F.length("s") >= 60).select("issue_id", "section", "pos", "s"))
+    lines = text.once(blocks.where("pagenum is null"), s=text.collapse_spacing(F.col("text"))).where("s != ''")
+    header = F.lower(text.strip_accents(F.col("s"))).rlike(running)
+    lines = text.once(lines.where(~((F.length("s") < 40) & header)), key=F.when(F.length("s") < 60, text.norm_key(F.col("s"))))
+    # longer lines have no key, so they repeat no title
+    kept = lines.join(keys, ["issue_id", "key"], "left_anti").select("issue_id", "section", "pos", "s")
     return paragraphs(kept, ["issue_id", "section"], "pos", "s")
 
 
